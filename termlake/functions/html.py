@@ -30,7 +30,7 @@ ENTITIES = {
     "gt": ">",
     "quot": '"',
     "apos": "'",
-    "nbsp": " ",
+    "nbsp": "\u00a0",
     "copy": "©",
     "middot": "·",
     "amp": "&",
@@ -108,10 +108,11 @@ class _PageReader(HTMLParser):
 
     def __init__(self, url: str):
         super().__init__(convert_charrefs=True)
-        self.url, self.open, self.pieces, self.links = url, [], [], []
-        self.title, self.title_at = None, None
+        self.url, self.open, self.nodes, self.links = url, [], [], []
+        self.title, self.title_at, self.in_node = None, None, False
 
     def handle_starttag(self, tag, attrs):
+        self.in_node = False
         hidden = self.HIDDEN.intersection(self.open)
         if tag == "a" and not hidden:
             href = [v or "" for k, v in attrs if k == "href"]
@@ -126,6 +127,7 @@ class _PageReader(HTMLParser):
             self.open.append(tag)
 
     def handle_endtag(self, tag):
+        self.in_node = False
         if tag in self.open:
             while self.open.pop() != tag:
                 pass
@@ -133,12 +135,29 @@ class _PageReader(HTMLParser):
                 self.title_at = None
 
     def handle_data(self, data):
+        # Neighbouring pieces without markup between them are one text node.
         if self.HIDDEN.intersection(self.open):
             return
-        if self.title_at is not None:
-            self.title.append(data.strip())
+        targets = [self.title] if self.title_at is not None else []
         if not self.SPECIAL.intersection(self.open):
-            self.pieces.append(data)
+            targets.append(self.nodes)
+        for nodes in targets:
+            if self.in_node and nodes:
+                nodes[-1] += data
+            else:
+                nodes.append(data)
+        self.in_node = True
+
+    def handle_comment(self, data):
+        self.in_node = False
+
+    handle_decl = handle_pi = handle_comment
+
+    def unknown_decl(self, data):
+        self.in_node = False
+        if data.upper().startswith("CDATA["):
+            self.handle_data(data[6:])
+            self.in_node = False
 
 
 def read_page(url: str, html: str) -> tuple[str, str, list[str]]:
@@ -146,7 +165,8 @@ def read_page(url: str, html: str) -> tuple[str, str, list[str]]:
     reader = _PageReader(url)
     reader.feed(html)
     reader.close()
-    return " ".join(" ".join(reader.pieces).split()), "".join(reader.title or []), reader.links
+    title = "".join(node.strip() for node in reader.title or [])
+    return " ".join(" ".join(reader.nodes).split()), title, reader.links
 
 
 def _parse_batch(url: pd.Series, html: pd.Series) -> pd.DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -30,9 +30,7 @@ def host_throttle(
     completed by one small row per (host, block): a host with a third of all
     requests is spread over many tasks.
     """
-    kind = requests.schema[ts_col].dataType.simpleString()
-    ts = F.unix_micros(ts_col) if kind == "timestamp" else F.round(F.col(ts_col) * 1_000_000).cast("bigint")
-    rows = requests.withColumn("_t", ts)
+    rows = requests.withColumn("_t", _micros(requests, ts_col))
     if delays is not None:
         table = delays.select(F.col("host").alias(host_col), F.nullif("crawl_delay", F.lit(0.0)).alias("_delay"))
         rows = rows.join(broadcast_if_small(table), host_col, "left")
@@ -62,3 +60,13 @@ def host_throttle(
     send = (F.col("_before") + F.col("_i")) * F.col("_m") + peak
     sent = joined.withColumn("send_us", send).withColumn("wait_us", F.col("send_us") - F.col("_t"))
     return sent.select(*requests.columns, "send_us", "wait_us")
+
+
+def _micros(requests: DataFrame, ts_col: str) -> Column:
+    kind = requests.schema[ts_col].dataType.simpleString()
+    if kind == "timestamp":
+        return F.unix_micros(ts_col)
+    if kind == "timestamp_ntz":
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", epoch, F.col(ts_col))
+    return F.round(F.col(ts_col) * 1_000_000).cast("bigint")
