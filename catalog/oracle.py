@@ -219,8 +219,8 @@ STATS = "SELECT depth, CAST(sum(p) AS BIGINT) AS processed, CAST(sum(l) AS BIGIN
 )
 
 FILES = (
-    "tok AS (SELECT doc_id::VARCHAR AS id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents), "
-    f"{STOP}, {LEM}, {NORMAL}, {_weights('nc', '(SELECT 2 * count(*) FROM documents)')}"
+    "tok AS (SELECT page_id::VARCHAR AS id, unnest(regexp_extract_all(lower(html), '[a-z]+')) AS term FROM pages), "
+    f"{STOP}, {LEM}, {NORMAL}, {_weights('nc', '(SELECT 2 * count(*) FROM pages)')}"
 )
 
 ORACLE: dict[str, str] = {
@@ -368,8 +368,8 @@ ORACLE: dict[str, str] = {
         "CASE WHEN event_type NOT IN ('click', 'view') THEN 1.0::DOUBLE END AS flag FROM events"
     ),
     "read_text_docs": (
-        "SELECT doc_id::VARCHAR AS id, replace(replace(text || chr(10), chr(13) || chr(10), chr(10)), chr(13), chr(10)) "
-        "AS text FROM documents UNION ALL SELECT 'none-' || doc_id, '' FROM documents"
+        "SELECT page_id::VARCHAR AS id, replace(replace(html || chr(10), chr(13) || chr(10), chr(10)), chr(13), chr(10)) "
+        "AS text FROM pages UNION ALL SELECT 'none-' || page_id, '' FROM pages"
     ),
     "build_index_files": f"WITH {FILES} SELECT id, term, cnt, round(w, 8) AS w FROM wt",
 }

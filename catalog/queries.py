@@ -16,7 +16,7 @@ from termlake.operators import pacing, robots, search, stats
 from termlake.operators import weights as Wt
 from termlake.operators.keys import ranked
 from termlake.plans import crawl, index
-from termlake.session import scratch_path
+from termlake.session import scratch_path, spread
 from termlake.sources import indexfiles, textfiles
 from termlake.sources.pages import read_pages
 
@@ -50,9 +50,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents"))
+
+
+def pages_table(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "pages"))
+
+
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """``documents`` as ``(id, url, title, text)``."""
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf).select(
         F.col("doc_id").alias("id"),
         F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("url"),
         F.col("source").alias("title"),
@@ -71,7 +79,7 @@ def document_index(spark: SparkSession, sf: str) -> index.Index:
 
 def page_docs(spark: SparkSession, sf: str) -> DataFrame:
     """Extracted pages ``(url, title, text)``."""
-    pages = read_pages(table(spark, sf, "pages")).select("url", "html")
+    pages = read_pages(pages_table(spark, sf)).select("url", "html")
     return html.extract(pages, want=("title", "text"))
 
 
@@ -85,23 +93,23 @@ def pages_read(spark, sf):
 
 @query
 def html_text(spark, sf):
-    return html.extract(read_pages(table(spark, sf, "pages")), want=("text",)).select("page_id", "text")
+    return html.extract(read_pages(pages_table(spark, sf)), want=("text",)).select("page_id", "text")
 
 
 @query
 def html_title(spark, sf):
-    return html.extract(read_pages(table(spark, sf, "pages")), want=("title",)).select("page_id", "title")
+    return html.extract(read_pages(pages_table(spark, sf)), want=("title",)).select("page_id", "title")
 
 
 @query
 def html_links(spark, sf):
-    found = html.extract(read_pages(table(spark, sf, "pages")), want=("links",))
+    found = html.extract(read_pages(pages_table(spark, sf)), want=("links",))
     return found.select("page_id", F.posexplode("links").alias("pos", "link"))
 
 
 @query
 def collapse_ws(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", html.collapse_ws(F.col("text")).alias("text"))
+    return texts(spark, sf).select("doc_id", html.collapse_ws(F.col("text")).alias("text"))
 
 
 def _url_query(name: str, fn) -> None:
@@ -143,7 +151,7 @@ def same_root(spark, sf):
 def _token_query(name: str, tokenizer) -> None:
     def run(spark, sf):
         tokens = tokenizer(F.col("text"))
-        return table(spark, sf, "documents").select("doc_id", F.array_join(tokens, " ").alias("tokens"))
+        return texts(spark, sf).select("doc_id", F.array_join(tokens, " ").alias("tokens"))
 
     run.__name__ = name
     query(run)
@@ -401,7 +409,7 @@ def robots_filter(spark, sf):
 
 def linked_pages(spark: SparkSession, sf: str) -> DataFrame:
     """``pages`` with links to the next three pages of their host put in front."""
-    pages = table(spark, sf, "pages").withColumn("host", urls.netloc(F.col("url")))
+    pages = pages_table(spark, sf).withColumn("host", urls.netloc(F.col("url")))
     places = ranked(pages.select("host", "page_id", "url"), ["host"], ["page_id"], "place")
     hops = places.select("host", "page_id", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])).alias("hop"), "place")
     targets = places.select("host", F.col("url").alias("to"), F.col("place").alias("at"))
@@ -571,18 +579,19 @@ def coerce_tfidf(spark, sf):
 
 
 def text_files(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
-    """Every document as a text file; ``(manifest, root)``.
+    """Every page's HTML as a text file; ``(manifest, root)``.
 
-    The manifest lists each file, and for each document one that is missing.
+    The manifest lists each file, and for each page one that is missing.
     """
     root = scratch_path(spark, "texts")
-    table(spark, sf, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(root)
+    pages = table(spark, sf, "pages").select("page_id", "html")
+    pages.write.partitionBy("page_id").text(root)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
-    doc = F.regexp_extract("path", r"/doc_id=(\d+)/", 1)
-    listed = files.select(doc.alias("id"), textfiles.plain_path(F.col("path")).alias("path"))
-    missing = table(spark, sf, "documents").select(
-        F.concat(F.lit("none-"), F.col("doc_id").cast("string")).alias("id"),
-        F.concat(F.lit("/none/"), F.col("doc_id").cast("string")).alias("path"),
+    page = F.regexp_extract("path", r"/page_id=(\d+)/", 1)
+    listed = files.select(page.alias("id"), textfiles.plain_path(F.col("path")).alias("path"))
+    missing = pages.select(
+        F.concat(F.lit("none-"), F.col("page_id").cast("string")).alias("id"),
+        F.concat(F.lit("/none/"), F.col("page_id").cast("string")).alias("path"),
     )
     return listed.unionByName(missing), root
 

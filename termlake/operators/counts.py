@@ -39,8 +39,10 @@ def term_counts(
         F.size("_tokens").cast("bigint").alias("total"),
         tk.count_tokens(F.col("_tokens")).alias("_counts"),
     )
-    unnest = F.inline_outer if keep_empty else F.inline
-    return counted.select(id_col, "total", unnest("_counts"))
+    # The outer form, because Spark guards the inner one by a filter on the size
+    # of the array, which would count every document's tokens a second time.
+    rows = counted.select(id_col, "total", F.inline_outer("_counts"))
+    return rows if keep_empty else rows.where(F.col("term").isNotNull())
 
 
 def term_freq(docs: DataFrame, **how) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores
 from ..functions import tokens as tk
-from ..session import BROADCAST_MAX_ROWS, broadcast_if_small, is_small
+from ..session import BROADCAST_MAX_ROWS, is_small, measure
 from .keys import top_k
 
 # Fixed value: beyond this many values Parquet only sees the range of an IN list.
@@ -35,9 +35,8 @@ def query_vector(
             "_counts", lambda c: F.struct(c["term"].alias("term"), (c["cnt"] / F.col("_total")).alias("qw"))
         ).alias("_weights"),
     )
-    return weighted.select("qid", scores.norm(F.col("_weights.qw")).alias("qnorm"), F.inline("_weights")).select(
-        "qid", "term", "qw", "qnorm"
-    )
+    rows = weighted.select("qid", scores.norm(F.col("_weights.qw")).alias("qnorm"), F.inline_outer("_weights"))
+    return rows.where(F.col("term").isNotNull()).select("qid", "term", "qw", "qnorm")
 
 
 def postings_match(postings: DataFrame, qvec: DataFrame) -> DataFrame:
@@ -46,10 +45,11 @@ def postings_match(postings: DataFrame, qvec: DataFrame) -> DataFrame:
     A small batch is broadcast, so the postings are scanned in place; a larger
     one is joined by a shuffle that adaptive execution splits at hot terms.
     """
-    terms = [r["term"] for r in qvec.select("term").distinct().limit(PRUNE_TERMS + 1).collect()]
-    if len(terms) <= PRUNE_TERMS:
+    rows, small = measure(qvec)
+    if rows <= PRUNE_TERMS:
+        terms = [r["term"] for r in qvec.select("term").limit(PRUNE_TERMS).collect()]
         postings = postings.where(F.col("term").isin(terms))
-    return postings.join(broadcast_if_small(qvec), "term")
+    return postings.join(F.broadcast(qvec) if small else qvec, "term")
 
 
 def dot_product(matches: DataFrame, id_col: str = "id") -> DataFrame:

@@ -42,7 +42,7 @@ def vectors(weighted: DataFrame, id_col: str = "id") -> DataFrame:
 
 def postings(vecs: DataFrame, id_col: str = "id") -> DataFrame:
     """``(id, norm, term, w)``, one row per document and term."""
-    return vecs.select(id_col, "norm", F.inline("tfidf"))
+    return vecs.select(id_col, "norm", F.inline_outer("tfidf")).where(F.col("term").isNotNull())
 
 
 def doc_norm(weighted: DataFrame, id_col: str = "id") -> DataFrame:

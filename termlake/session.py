@@ -49,8 +49,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Measure ``df``, reading at most ``max_rows + 1`` rows of it."""
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a file scan that has fewer partitions than there are cores.
+
+    A few small files with one row group each would leave most cores idle in
+    the costly per-row steps. Such a scan holds less than one file split per
+    core, so moving it is cheap; any larger input is returned as it is. Only for
+    plain scans: asking a plan with shuffles for its partitions would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def measure(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> tuple[int, bool]:
+    """Rows of ``df``, counting to ``max_rows + 1`` only, and whether it is small."""
     width = F.lit(0).cast("bigint")
     for field in df.schema.fields:
         kind = field.dataType.simpleString()
@@ -61,7 +75,12 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int =
         else:
             width = width + 16
     got = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
-    return got["n"] <= max_rows and (got["b"] or 0) <= max_bytes
+    return got["n"], got["n"] <= max_rows and (got["b"] or 0) <= max_bytes
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` was measured to fit a broadcast."""
+    return measure(df, max_rows, max_bytes)[1]
 
 
 def broadcast_if_small(df: DataFrame, **limits) -> DataFrame:
