@@ -79,18 +79,16 @@ def index_docs(
     return index_counts(docs.drop("text"), counts, n_docs)
 
 
-def write_all(index: Index, docs: DataFrame | None, out_dir: str) -> None:
+def write_all(index: Index, docs: DataFrame, out_dir: str) -> None:
     """Writes ``docs``, ``tfidf_index`` (JSON lines), ``tfidf_keyed`` and
-    ``postings`` (Parquet) below ``out_dir``. Each is derived from the one before."""
-    spark = index.docs.sparkSession
-    if docs is not None:
-        indexfiles.write_docs(docs, f"{out_dir}/docs")
-    vecs = stage(index.vectors, "vectors")
-    records = indexfiles.index_records(vecs, index.docs)
+    ``postings`` (Parquet) below ``out_dir``. The weights are computed once: the
+    last three follow from the keyed table."""
+    indexfiles.write_docs(docs, f"{out_dir}/docs")
+    records = index.records
     indexfiles.write_index_keyed(records, f"{out_dir}/tfidf_keyed")
-    keyed = spark.read.schema(records.schema).parquet(f"{out_dir}/tfidf_keyed")
+    keyed = docs.sparkSession.read.schema(records.schema).parquet(f"{out_dir}/tfidf_keyed")
     indexfiles.write_index(keyed, f"{out_dir}/tfidf_index")
-    indexfiles.write_postings(Wt.postings(vecs), f"{out_dir}/postings")
+    indexfiles.write_postings(indexfiles.record_postings(keyed), f"{out_dir}/postings")
 
 
 def build_index(
@@ -102,6 +100,9 @@ def build_index(
 ) -> Index:
     """Index of extracted pages ``(url, title, text)``; written when ``out_dir`` is given."""
     docs = document_ids(pages, *([order] if order else []))
+    if out_dir is not None:
+        # Read several times below; the pages may still have to be parsed.
+        docs = stage(docs, "docs")
     index = index_docs(docs, tokenizer, unique_ids, order)
     if out_dir is not None:
         write_all(index, docs, out_dir)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scores
 from ..functions.numbers import to_float
 
 RAW = "map<string,string>"
@@ -25,6 +26,13 @@ def index_records(vecs: DataFrame, docs: DataFrame) -> DataFrame:
     return joined.select("id", "url", "title", as_map.alias("tfidf"))
 
 
+def record_postings(records: DataFrame) -> DataFrame:
+    """``(id, norm, term, w)`` from index records."""
+    norm = scores.norm(F.map_values("tfidf")).alias("norm")
+    rows = records.select("id", norm, F.explode_outer("tfidf").alias("term", "w"))
+    return rows.where(F.col("term").isNotNull())
+
+
 def write_index(records: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One JSON record ``{id, url, title, tfidf{}}`` per line."""
     records.select("id", "url", "title", "tfidf").write.mode(mode).json(path)
