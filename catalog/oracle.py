@@ -166,8 +166,9 @@ LINKED = (
     "every AS (SELECT page_id, pos, link FROM nexts UNION ALL "
     "SELECT o.page_id, o.pos + coalesce(nn.k, 0), o.link FROM own o LEFT JOIN nn USING (page_id)), "
     f"std AS (SELECT {STRIP.format('url')} AS url, min(page_id) AS page_id FROM pages GROUP BY 1), "
-    f"links AS (SELECT e.page_id, s.url AS src, e.pos, {STRIP.format('e.link')} AS dst FROM every e "
-    "JOIN std s USING (page_id) WHERE starts_with(e.link, 'http'))"
+    f"per_page AS (SELECT e.page_id, min(e.pos) AS first_at, {STRIP.format('e.link')} AS dst FROM every e "
+    "JOIN std s USING (page_id) WHERE starts_with(e.link, 'http') GROUP BY 1, 3), "
+    "links AS (SELECT page_id, dst, row_number() OVER (PARTITION BY page_id ORDER BY first_at) - 1 AS pos FROM per_page)"
 )
 FIRST = (
     "firsts AS (SELECT dst AS url, page_id AS parent_pos, pos AS link_pos FROM (SELECT *, "

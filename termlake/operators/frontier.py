@@ -22,7 +22,7 @@ SMALL_CAP = 100_000
 
 def link_graph(pages: DataFrame, parser: str = "html") -> DataFrame:
     """``(url, key, links)``: fragment-free URL, which page stands for it, and
-    its ``http`` links without fragments, in page order.
+    its distinct ``http`` links without fragments, in page order.
 
     Of several pages with the same URL the lowest ``page_id`` stands (the lowest
     hash of the HTML when there is no such column).
@@ -30,7 +30,7 @@ def link_graph(pages: DataFrame, parser: str = "html") -> DataFrame:
     key = F.col("page_id") if "page_id" in pages.columns else F.xxhash64("html")
     keyed = pages.select("url", key.alias("key"), "html")
     linked = html.extract(keyed, want=("links",), parser=parser)
-    clean = F.transform(F.filter("links", urls.is_http), urls.strip_fragment)
+    clean = F.array_distinct(F.transform(F.filter("links", urls.is_http), urls.strip_fragment))
     rows = linked.select(urls.strip_fragment(F.col("url")).alias("url"), "key", clean.alias("links"))
     return rows.groupBy("url").agg(F.min("key").alias("key"), F.min_by("links", "key").alias("links"))
 
@@ -51,9 +51,14 @@ def discovered(fetched: DataFrame) -> DataFrame:
 
 
 def dedupe_links(links: DataFrame) -> DataFrame:
-    """First occurrence of each link."""
-    first = F.min(F.struct("parent_pos", "link_pos")).alias("_first")
-    return links.groupBy("url").agg(first).select("url", "_first.*")
+    """First occurrence of each link; a page has each of its links once.
+
+    Numbers only in the aggregation buffers, so tasks combine by hash before
+    the shuffle and a link found on most pages costs one row per task.
+    """
+    return links.groupBy("url").agg(
+        F.min("parent_pos").alias("parent_pos"), F.min_by("link_pos", "parent_pos").alias("link_pos")
+    )
 
 
 def unseen_links(links: DataFrame, visited: DataFrame, depth: int) -> DataFrame:

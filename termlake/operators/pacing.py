@@ -39,7 +39,10 @@ def host_throttle(
     interval = F.coalesce("_delay", F.lit(float(min_interval)))
     rows = rows.withColumn("_m", F.round(interval * 1_000_000).cast("bigint")).drop("_delay")
 
-    order = ["_t"] + ([tie_col] if tie_col else [])
+    if tie_col is None:
+        # Lets equal times be cut into several blocks.
+        rows = rows.withColumn("_tie", F.monotonically_increasing_id())
+    order = ["_t", tie_col or "_tie"]
     blocks = range_blocks(rows, [host_col], order, "requests")
     inside = W.partitionBy(host_col, "_block").orderBy(*order)
     so_far = inside.rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -35,7 +35,9 @@ def query_vector(
             "_counts", lambda c: F.struct(c["term"].alias("term"), (c["cnt"] / F.col("_total")).alias("qw"))
         ).alias("_weights"),
     )
-    rows = weighted.select("qid", scores.norm(F.col("_weights.qw")).alias("qnorm"), F.inline_outer("_weights"))
+    # The norm in a step before the explode, else it is computed for every term.
+    normed = weighted.select("qid", scores.norm(F.col("_weights.qw")).alias("qnorm"), "_weights")
+    rows = normed.select("qid", "qnorm", F.inline_outer("_weights"))
     return rows.where(F.col("term").isNotNull()).select("qid", "term", "qw", "qnorm")
 
 
@@ -82,9 +84,12 @@ def overlap_terms(matches: DataFrame, id_col: str = "id") -> DataFrame:
 
 
 def attach_meta(hits: DataFrame, docs: DataFrame, small_hits: bool, id_col: str = "id") -> DataFrame:
-    """Hits with ``url`` and ``title``. ``small_hits``: their number is known to be small."""
-    side = F.broadcast(hits) if small_hits else hits
-    return docs.select(id_col, "url", "title").join(side, id_col, "right")
+    """Hits with ``url`` and ``title``; every hit is a document.
+
+    ``small_hits`` says that their number is known to be small: then they are
+    broadcast and the documents are read in place.
+    """
+    return docs.select(id_col, "url", "title").join(F.broadcast(hits) if small_hits else hits, id_col)
 
 
 def search(

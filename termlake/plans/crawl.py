@@ -68,7 +68,9 @@ def crawl_closure(
         return robots_filter(df, robots, robots_mode, agent).where("allowed").drop("allowed")
 
     # One pass over the host's pages; later levels read only URLs and links.
-    usable = in_scope(read_pages(pages))
+    # The prefixes say no more than the filters do, but reach the scan.
+    near = F.startswith(F.col("url"), F.lit(f"http://{root}")) | F.startswith(F.col("url"), F.lit(f"https://{root}"))
+    usable = in_scope(read_pages(pages).where(near))
     graph = stage(fr.link_graph(usable, parser), "links")
 
     first = [(s, i) for i, s in enumerate(seeds) if isinstance(s, str) and s.startswith("http")]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,15 +27,19 @@ class Index:
     vocab: DataFrame
     n_docs: int
 
+    @cached_property
+    def _weighted(self) -> DataFrame:
+        return Wt.tfidf(self.counts, self.vocab, self.n_docs)
+
     @property
     def weighted(self) -> DataFrame:
         """``(id, total, term, cnt, df, n, tf, idf, w)``."""
-        return Wt.tfidf(self.counts.where(F.col("term").isNotNull()), self.vocab, self.n_docs)
+        return self._weighted.where(F.col("term").isNotNull())
 
     @property
     def vectors(self) -> DataFrame:
         """``(id, n_terms, norm, tfidf)``; empty documents included."""
-        return Wt.vectors(Wt.tfidf(self.counts, self.vocab, self.n_docs))
+        return Wt.vectors(self._weighted)
 
     @property
     def postings(self) -> DataFrame:

@@ -64,7 +64,11 @@ def spread(scan: DataFrame) -> DataFrame:
 def measure(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> tuple[int, bool]:
-    """Rows of ``df``, counting to ``max_rows + 1`` only, and whether it is small."""
+    """Rows of ``df`` and whether it is small.
+
+    Plain sums: each task returns one row. A limit would first move up to that
+    many rows of every task into one.
+    """
     width = F.lit(0).cast("bigint")
     for field in df.schema.fields:
         kind = field.dataType.simpleString()
@@ -74,7 +78,7 @@ def measure(
             width = width + F.coalesce(F.length(F.to_json(F.struct(F.col(field.name)))), F.lit(0)) + 16
         else:
             width = width + 16
-    got = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    got = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     return got["n"], got["n"] <= max_rows and (got["b"] or 0) <= max_bytes
 
 

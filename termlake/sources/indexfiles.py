@@ -28,8 +28,10 @@ def index_records(vecs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def record_postings(records: DataFrame) -> DataFrame:
     """``(id, norm, term, w)`` from index records."""
-    norm = scores.norm(F.map_values("tfidf")).alias("norm")
-    rows = records.select("id", norm, F.explode_outer("tfidf").alias("term", "w"))
+    # The norm comes first, in its own step: next to the explode it would be
+    # computed again for every term.
+    normed = records.select("id", scores.norm(F.map_values("tfidf")).alias("norm"), "tfidf")
+    rows = normed.select("id", "norm", F.explode_outer("tfidf").alias("term", "w"))
     return rows.where(F.col("term").isNotNull())
 
 

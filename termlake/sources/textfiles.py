@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import is_small
+
 
 def plain_path(path: Column) -> Column:
     """A local path without its ``file:`` prefix; other schemes are kept."""
@@ -23,6 +25,11 @@ def read_text_docs(manifest: DataFrame, root: str) -> DataFrame:
         .select(plain_path(F.col("path")).alias("_path"), "content")
     )
     decoded = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string"))
-    text = F.regexp_replace(F.coalesce(decoded, F.lit("")), r"\r\n?", "\n")
+    text = F.regexp_replace(F.coalesce(decoded, F.lit("")), r"\r\n?", "\n").alias("text")
     listed = manifest.select("id", "path", plain_path(F.col("path")).alias("_path"))
-    return listed.join(files, "_path", "left").select("id", "path", text.alias("text"))
+    if is_small(listed):
+        # The files' contents stay where they are read; only paths are compared.
+        found = files.join(F.broadcast(listed), "_path").select("id", "path", text)
+        missing = listed.join(files.select("_path"), "_path", "left_anti")
+        return found.unionByName(missing.select("id", "path", F.lit("").alias("text")))
+    return listed.join(files, "_path", "left").select("id", "path", text)
