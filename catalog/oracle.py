@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import CRAWL_DEPTH, DOMAINS, INTERVAL_SECONDS, LEMMAS, LINK_CAP, STOPWORDS, TOP_K
+from .queries import CRAWL_DEPTH, DOMAINS, INTERVAL_SECONDS, LEMMAS, LINK_CAP, MAX_DEPTH, STOPWORDS, TOP_K
 
 UUID_NS = "6ba7b8119dad11d180b400c04fd430c8"
 
@@ -160,8 +160,8 @@ SELECT u.page_id, u.url, (coalesce(trim(rb.body), '') <> '' AND (SELECT bool_or(
 LINKED = (
     f"{SHOWN}, {HREFS}, places AS (SELECT page_id, url, {NETLOC.format('url')} AS host, "
     f"row_number() OVER (PARTITION BY {NETLOC.format('url')} ORDER BY page_id) AS place FROM pages), "
-    "nexts AS (SELECT a.page_id, b.place - a.place - 1 AS pos, b.url AS link FROM places a JOIN places b "
-    "ON a.host = b.host AND b.place BETWEEN a.place + 1 AND a.place + 3), "
+    "nexts AS (SELECT a.page_id, b.place - a.place * 3 + 1 AS pos, b.url AS link FROM places a JOIN places b "
+    "ON a.host = b.host AND b.place BETWEEN a.place * 3 - 1 AND a.place * 3 + 1), "
     "nn AS (SELECT page_id, count(*) AS k FROM nexts GROUP BY 1), "
     "every AS (SELECT page_id, pos, link FROM nexts UNION ALL "
     "SELECT o.page_id, o.pos + coalesce(nn.k, 0), o.link FROM own o LEFT JOIN nn USING (page_id)), "
@@ -176,7 +176,7 @@ FIRST = (
 )
 
 
-def _crawl(depth: int, cap: int) -> str:
+def _crawl(depth: int, cap: int | None) -> str:
     """Levels of the crawl: ``v{d}(url, pos, page_id)`` and ``f{d}(url, pos)``."""
     ctes = [
         LINKED,
@@ -197,8 +197,8 @@ def _crawl(depth: int, cap: int) -> str:
             )
             ctes.append(
                 f"f{d + 1} AS (SELECT url, row_number() OVER (ORDER BY pp, lp) - 1 AS pos FROM (SELECT *, "
-                f"row_number() OVER (PARTITION BY url ORDER BY pp, lp) AS r FROM n{d}) WHERE r = 1 "
-                f"QUALIFY row_number() OVER (ORDER BY pp, lp) <= {cap})"
+                f"row_number() OVER (PARTITION BY url ORDER BY pp, lp) AS r FROM n{d}) WHERE r = 1"
+                + (f" QUALIFY row_number() OVER (ORDER BY pp, lp) <= {cap})" if cap else ")")
             )
     levels = " UNION ALL ".join(f"SELECT url, {d} AS depth, page_id FROM v{d}" for d in range(depth + 1))
     return ", ".join([*ctes, f"visited AS ({levels})"])
@@ -347,7 +347,7 @@ ORACLE: dict[str, str] = {
         f"QUALIFY pos < {LINK_CAP}"
     ),
     "accumulate_pages": f"WITH {CRAWL} SELECT url, depth, page_id IS NOT NULL AS fetched FROM visited",
-    "crawl_closure": f"WITH {CRAWL}, {CRAWL_TEXT} SELECT url, depth, title, text FROM texts",
+    "crawl_closure": f"WITH {_crawl(MAX_DEPTH, None)}, {CRAWL_TEXT} SELECT url, depth, title, text FROM texts",
     "crawl_stats": f"WITH {CRAWL} {STATS}",
     "crawl_and_index": (
         f"WITH {_crawl(2, LINK_CAP)}, {CRAWL_TEXT}, "

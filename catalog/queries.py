@@ -30,6 +30,7 @@ LEMMAS = [("are", "be"), ("was", "be"), ("with", "wi"), ("un", "une"), ("das", "
 INTERVAL_SECONDS = 6 * 3600.0
 LINK_CAP = 200
 CRAWL_DEPTH = 3
+MAX_DEPTH = 5
 TOP_K = 10
 
 
@@ -408,12 +409,13 @@ def robots_filter(spark, sf):
 
 
 def linked_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """``pages`` with links to the next three pages of their host put in front."""
+    """``pages`` with links put in front that make a tree of each host's pages:
+    the page at place n links to places 3n - 1, 3n and 3n + 1."""
     pages = pages_table(spark, sf).withColumn("host", urls.netloc(F.col("url")))
     places = ranked(pages.select("host", "page_id", "url"), ["host"], ["page_id"], "place")
-    hops = places.select("host", "page_id", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])).alias("hop"), "place")
+    hops = places.select("host", "page_id", F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)])).alias("hop"), "place")
     targets = places.select("host", F.col("url").alias("to"), F.col("place").alias("at"))
-    step = hops.join(targets, (hops["host"] == targets["host"]) & (hops["place"] + hops["hop"] == targets["at"]))
+    step = hops.join(targets, (hops["host"] == targets["host"]) & (hops["place"] * 3 + hops["hop"] == targets["at"]))
     anchor = F.concat(F.lit('<a href="'), F.replace(F.col("to"), F.lit("&"), F.lit("&amp;")), F.lit('">next</a>'))
     anchors = step.groupBy("page_id").agg(
         F.array_join(F.sort_array(F.collect_list(F.struct("hop", anchor.alias("a"))))["a"], "").alias("front")
@@ -430,9 +432,9 @@ def seed_url(pages: DataFrame) -> str:
     return by_host.orderBy(F.desc("n"), "host").first()["first"]
 
 
-def _crawl(spark, sf) -> crawl.Crawl:
+def _crawl(spark, sf, depth: int = CRAWL_DEPTH, cap: int | None = LINK_CAP) -> crawl.Crawl:
     seed = seed_url(table(spark, sf, "pages"))
-    return crawl.crawl_closure(linked_pages(spark, sf), seed, CRAWL_DEPTH, max_links_per_depth=LINK_CAP)
+    return crawl.crawl_closure(linked_pages(spark, sf), seed, depth, max_links_per_depth=cap)
 
 
 def _whole_graph(spark, sf) -> DataFrame:
@@ -474,7 +476,8 @@ def accumulate_pages(spark, sf):
 
 @query
 def crawl_closure(spark, sf):
-    return _crawl(spark, sf).pages.select("url", "depth", "title", "text")
+    """To the greatest depth and without a cap."""
+    return _crawl(spark, sf, MAX_DEPTH, None).pages.select("url", "depth", "title", "text")
 
 
 @query

@@ -92,14 +92,13 @@ def crawl_closure(
         )
         level = stage(level, f"level{depth}")
         levels.append(level)
-        if depth == max_depth:
+        if depth == max_depth or level.isEmpty():
             break
+        # Only levels are staged; a frontier is a short plan over them.
         links = in_scope(fr.discovered(level.where("fetched")))
         fresh = fr.dedupe_links(fr.unseen_links(links, fr.accumulate_pages(levels), depth))
-        frontier = stage(fr.depth_link_cap(fresh, max_links_per_depth), f"frontier{depth + 1}")
+        frontier = fr.depth_link_cap(fresh, max_links_per_depth)
         found.append(frontier.select("url", F.lit(depth + 1).alias("depth")))
-        if frontier.isEmpty():
-            break
 
     visited = fr.accumulate_pages(levels).drop("links")
     return Crawl(visited, fr.accumulate_pages(found), _texts(usable, visited, parser))
