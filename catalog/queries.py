@@ -105,7 +105,9 @@ def html_title(spark, sf):
 @query
 def html_links(spark, sf):
     found = html.extract(read_pages(pages_table(spark, sf)), want=("links",))
-    return found.select("page_id", F.posexplode("links").alias("pos", "link"))
+    # The outer form: the inner one would have the pages parsed twice.
+    rows = found.select("page_id", F.posexplode_outer("links").alias("pos", "link"))
+    return rows.where(F.col("link").isNotNull())
 
 
 @query
@@ -210,7 +212,8 @@ def corpus_size(spark, sf):
 
 @query
 def vocab_union(spark, sf):
-    return C.vocab_union(C.term_counts(documents(spark, sf)))
+    terms = F.explode_outer(F.array_distinct(tk.lex_alpha(F.col("text"))))
+    return C.vocab_union(documents(spark, sf).select(terms.alias("term")))
 
 
 @query

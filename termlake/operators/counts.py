@@ -69,7 +69,8 @@ def doc_freq_from_text(
     docs: DataFrame, tokenizer: Callable[[Column], Column] = tk.lex_alpha, text_col: str = "text"
 ) -> DataFrame:
     """``(term, df)`` straight from text, when no term counts are wanted."""
-    terms = docs.select(F.explode(F.array_distinct(tokenizer(F.col(text_col)))).alias("term"))
+    # The outer form for the same reason as in term_counts; doc_freq drops nulls.
+    terms = docs.select(F.explode_outer(F.array_distinct(tokenizer(F.col(text_col)))).alias("term"))
     return doc_freq(terms)
 
 

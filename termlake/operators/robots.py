@@ -118,7 +118,7 @@ def _parsed(body: Column) -> Column:
 def robots_rules(robots: DataFrame) -> DataFrame:
     """``(host, grp, agent, allow, prefix, pos)``, one row per agent and rule of a group."""
     parsed = one_per_host(robots).select("host", _parsed(F.col("body")).alias("p"))
-    rules = parsed.select("host", F.col("p.agents").alias("agents"), F.explode("p.rules").alias("r"))
+    rules = parsed.select("host", F.col("p.agents").alias("agents"), F.explode_outer("p.rules").alias("r")).where(F.col("r").isNotNull())
     own = F.filter("agents", lambda a: a["grp"] == F.col("r.grp"))
     named = rules.select("host", F.explode(own).alias("a"), "r")
     return named.select(

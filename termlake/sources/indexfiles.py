@@ -99,7 +99,7 @@ def parse_index(lines: DataFrame, order: list[str], path_fallback: bool = True)
         F.map_entries(m), lambda e: F.struct(e["key"].alias("key"), F.from_json(e["value"], RAW).alias("value"))
     )
     entries = F.when(single, alone).when(nested, many)
-    rows = parsed.select(*order, F.posexplode(entries).alias("_pos", "_e"))
+    rows = parsed.select(*order, F.posexplode_outer(entries).alias("_pos", "_e"))
     records = rows.where(F.col("_e.key").isNotNull()).select(
         F.col("_e.key").alias("id"),
         F.struct(*order, "_pos").alias("_order"),

@@ -120,3 +120,19 @@ def test_parser_copes_with_odd_markup():
 def test_cosine_guards_zero_norms(spark):
     df = spark.createDataFrame([(1.0, 0.0, 1.0), (1.0, 2.0, 0.5)], "d double, a double, b double")
     assert [r[0] for r in df.select(scores.cosine(F.col("d"), F.col("a"), F.col("b"))).collect()] == [0.0, 1.0]
+
+
+def test_reader_travels_without_the_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    blob = tmp_path / "reader.pkl"
+    blob.write_bytes(cloudpickle.dumps(html._parse_batch))
+    code = (
+        "import pickle, pandas as pd; f = pickle.load(open('reader.pkl', 'rb'));"
+        "print(f(pd.Series(['http://x.org/']), pd.Series(['<title>t</title><a href=y>z</a>'])).values.tolist())"
+    )
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
+    assert out.stdout.strip().endswith("[['t z', 't', ['http://x.org/y']]]"), out.stderr
