@@ -16,7 +16,7 @@ from termlake.operators import pacing, robots, search, stats
 from termlake.operators import weights as Wt
 from termlake.operators.keys import ranked
 from termlake.plans import crawl, index
-from termlake.session import scratch_path, spread
+from termlake.session import scratch_path, spread, stage
 from termlake.sources import indexfiles, textfiles
 from termlake.sources.pages import read_pages
 
@@ -441,7 +441,8 @@ def _crawl(spark, sf, depth: int = CRAWL_DEPTH, cap: int | None = LINK_CAP) -> c
 
 
 def _whole_graph(spark, sf) -> DataFrame:
-    return fr.link_graph(linked_pages(spark, sf))
+    # Used several times by each query: pages are parsed once.
+    return stage(fr.link_graph(linked_pages(spark, sf)), "graph")
 
 
 def _all_links(graph: DataFrame) -> DataFrame:
@@ -599,7 +600,7 @@ def text_files(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
         F.concat(F.lit("none-"), F.col("page_id").cast("string")).alias("id"),
         F.concat(F.lit("/none/"), F.col("page_id").cast("string")).alias("path"),
     )
-    return listed.unionByName(missing), root
+    return stage(listed.unionByName(missing), "manifest"), root
 
 
 @query

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .keys import top_k
 
 
@@ -36,6 +38,8 @@ def inspect_index(vecs: DataFrame, docs: DataFrame, n: int = 3, terms: int = 10,
     and their ``top_term`` weights.
     """
     none = F.lit(None).cast("string")
+    # Each part reads the vectors.
+    vecs = stage(vecs, "vectors")
     sizes = vocab_size(vecs)
 
     def single(part: str, column: str) -> DataFrame:
@@ -46,7 +50,7 @@ def inspect_index(vecs: DataFrame, docs: DataFrame, n: int = 3, terms: int = 10,
 
     # n rows at most from here on.
     big = largest_docs(vecs, n).join(docs.select("id", "url"), "id", "left")
-    order = F.row_number().over(_by_size())
+    order = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.desc("n_terms"), F.asc("id")))
     largest = big.select(
         F.lit("n_terms").alias("part"), order.alias("rank"), F.col("id").cast("string").alias("id"), "url",
         none.alias("term"), F.col("n_terms").cast("double").alias("value"),
@@ -58,9 +62,3 @@ def inspect_index(vecs: DataFrame, docs: DataFrame, n: int = 3, terms: int = 10,
     )
     report = single("total_docs", "n_docs").unionByName(single("vocab_size", "n_terms"))
     return report.unionByName(largest).unionByName(heavy)
-
-
-def _by_size():
-    from pyspark.sql import Window as W
-
-    return W.partitionBy(F.lit(0)).orderBy(F.desc("n_terms"), F.asc("id"))
