@@ -193,3 +193,19 @@ def test_pacing_equals_the_sequential_rule(spark):
         send = max(ts, last.get(host, -1e9) + gap)
         last[host] = send
         assert got[i] == round((send - ts) * 1e6), (host, ts, i)
+
+
+def test_large_tables_are_not_broadcast(spark, monkeypatch):
+    table = spark.createDataFrame(ROBOTS, "host string, body string")
+    links = spark.createDataFrame([(f"http://{h}/a",) for h, _ in ROBOTS for _ in range(3)], "url string")
+    pages = spark.createDataFrame(web(), PAGE)
+
+    def run():
+        allowed = sorted(map(tuple, robots.robots_filter(links, table, "strict").collect()))
+        texts = sorted(map(tuple, crawl.crawl_closure(pages, "http://a.org/0", 2).pages.collect()))
+        return allowed, texts
+
+    want = run()
+    for module in (robots, crawl, pacing):
+        monkeypatch.setattr(module, "broadcast_if_small", lambda df: df)
+    assert run() == want

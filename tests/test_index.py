@@ -264,3 +264,13 @@ def test_scratch_folder_follows_the_session(spark):
     from termlake.session import scratch_root
 
     assert os.path.isdir(scratch_root(spark))
+
+
+def test_large_manifests_are_not_broadcast(spark, tmp_path, monkeypatch):
+    (tmp_path / "a").write_bytes(b"one\rtwo")
+    listed = [("a", str(tmp_path / "a")), ("b", str(tmp_path / "a")), ("c", str(tmp_path / "none"))]
+    manifest = spark.createDataFrame(listed, "id string, path string")
+    want = {("a", "one\ntwo"), ("b", "one\ntwo"), ("c", "")}
+    assert {(r["id"], r["text"]) for r in textfiles.read_text_docs(manifest, str(tmp_path)).collect()} == want
+    monkeypatch.setattr(textfiles, "is_small", lambda df: False)
+    assert {(r["id"], r["text"]) for r in textfiles.read_text_docs(manifest, str(tmp_path)).collect()} == want
