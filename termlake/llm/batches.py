@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,9 +48,7 @@ def text_struct(text: Column, schema: str, make: Callable[[], Callable[[str], tu
     names = kind.names
 
     @F.pandas_udf(kind)
-    def run(series: "Iterator[pd.Series]") -> "Iterator[pd.DataFrame]":  # noqa: F821
-        import pandas as pd
-
+    def run(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         fn = make()
         for s in series:
             yield pd.DataFrame([fn(t or "") for t in s], columns=names)

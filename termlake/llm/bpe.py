@@ -17,6 +17,7 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -350,8 +351,6 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
 def token_count(text: Column, path: str) -> Column:
     """Number of tokens of a text column (null: 0), beside any other columns."""
-    import pandas as pd
-
     @F.pandas_udf("bigint")
     def run(texts: pd.Series) -> pd.Series:
         bpe = load(path)

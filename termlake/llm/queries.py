@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, warc
+from . import bpe, quality_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +34,11 @@ def op3_bpe(spark, sf):
     return bpe.round_trip(table(spark, sf, "documents"), byte_bpe())
 
 
+@query
+def op4_quality_rules(spark, sf):
+    return quality_rules.quality_table(table(spark, sf, "documents"))
+
+
 @query
 def op8_warc(spark, sf):
     members = warc.archive_pages(table(spark, sf, "pages"), min_bytes=0)
