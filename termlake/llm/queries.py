@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality_rules, warc
+from . import bpe, mixing, quality_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,15 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+MIX_SHARE, MIX_POWER, MIX_SEED = 0.5, 0.5, 7
+
+
+@query
+def op1_mixing(spark, sf):
+    mixed = mixing.mix(table(spark, sf, "documents"), MIX_SHARE, MIX_POWER, seed=MIX_SEED)
+    return mixed.withColumns({c: F.round(c, 9) for c in ("weight", "probability")})
+
+
 @query
 def op3_bpe(spark, sf):
     return bpe.round_trip(table(spark, sf, "documents"), byte_bpe())
@@ -68,3 +77,48 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to,
        url, true AS intact
 FROM b"""
+
+
+def _mixing_sql() -> str:
+    """The rounds of raking and the halvings written out as one CTE each."""
+    spaces = "translate(coalesce(text, ''), chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     ')"
+    parts = [
+        f"""w AS (SELECT doc_id, source, lang, list_filter(string_split({spaces}, ' '), lambda x: x <> '') AS words FROM documents)""",
+        f"""d AS (SELECT doc_id, source, lang, CAST(len(words) AS BIGINT) AS n_tokens,
+          CAST(CAST('0x' || substr(md5(coalesce(list_max(list_transform(words, lambda x: struct_pack(n := length(x), w := x))).w, '')), 1, 8) AS BIGINT)
+               % {mixing.TOPICS} AS INT) AS topic FROM w)""",
+        "c0 AS (SELECT source, lang, topic, sum(n_tokens) AS mass, CAST(sum(n_tokens) AS DOUBLE) AS fit FROM d GROUP BY ALL HAVING sum(n_tokens) > 0)",
+    ]
+    for m in mixing.MARGINS:
+        parts.append(
+            f"g_{m} AS (SELECT {m}, pow(sum(mass), {MIX_POWER}) / sum(pow(sum(mass), {MIX_POWER})) OVER () * sum(sum(mass)) OVER () AS target FROM c0 GROUP BY {m})"
+        )
+    k = 0
+    for _ in range(mixing.ROUNDS):
+        for m in mixing.MARGINS:
+            parts.append(
+                f"c{k + 1} AS MATERIALIZED (SELECT c.* REPLACE (fit * target / sum(fit) OVER (PARTITION BY c.{m}) AS fit) FROM c{k} c JOIN g_{m} g ON c.{m} IS NOT DISTINCT FROM g.{m})"
+            )
+            k += 1
+    parts.append(f"f AS MATERIALIZED (SELECT *, fit / mass AS weight FROM c{k})")
+    parts.append(f"h0 AS (SELECT ln({MIX_SHARE} / max(weight)) - 1 AS low, ln(1 / min(weight)) AS high, {MIX_SHARE} * sum(mass) AS budget FROM f)")
+    for i in range(mixing.CALIBRATION):
+        kept = f"(SELECT sum(mass * least(1, weight * exp((low + high) / 2))) FROM f) <= budget"
+        parts.append(
+            f"h{i + 1} AS MATERIALIZED (SELECT CASE WHEN {kept} THEN (low + high) / 2 ELSE low END AS low, CASE WHEN {kept} THEN high ELSE (low + high) / 2 END AS high, budget FROM h{i})"
+        )
+    last = f"(SELECT exp((low + high) / 2) FROM h{mixing.CALIBRATION})"
+    parts.append(f"p AS (SELECT source, lang, topic, weight, least(1, weight * {last}) AS probability FROM f)")
+    draw = f"CAST('0x' || substr(md5('{MIX_SEED}:' || doc_id), 1, 12) AS BIGINT) / pow(2, 48)"
+    return (
+        "WITH "
+        + ", ".join(parts)
+        + f""" SELECT d.doc_id, d.source, d.lang, d.topic, n_tokens,
+        round(CASE WHEN n_tokens = 0 THEN 0 ELSE coalesce(weight, 0) END, 9) AS weight,
+        round(CASE WHEN n_tokens = 0 THEN 0 ELSE coalesce(probability, 0) END, 9) AS probability,
+        {draw} < CASE WHEN n_tokens = 0 THEN 0 ELSE coalesce(probability, 0) END AS sampled
+        FROM d LEFT JOIN p ON d.source IS NOT DISTINCT FROM p.source AND d.lang IS NOT DISTINCT FROM p.lang AND d.topic = p.topic"""
+    )
+
+
+ORACLE["op1_mixing"] = _mixing_sql()
