@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality_rules, warc
+from . import bpe, mixing, quality_net, quality_rules, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +38,11 @@ def op1_mixing(spark, sf):
     return mixed.withColumns({c: F.round(c, 9) for c in ("weight", "probability")})
 
 
+@query
+def op2_toxicity(spark, sf):
+    return toxicity.toxicity_table(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op3_bpe(spark, sf):
     return bpe.round_trip(table(spark, sf, "documents"), byte_bpe())
@@ -56,6 +61,11 @@ def op8_warc(spark, sf):
     )
 
 
+@query
+def op9_quality_net(spark, sf):
+    return quality_net.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 # Base32 by hand: hex digits to bits, bits in fives to letters.
 ORACLE["op8_warc"] = """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
