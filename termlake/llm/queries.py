@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality_net, quality_rules, toxicity, warc
+from . import bpe, line_chunks, mixing, quality_net, quality_rules, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,6 +53,14 @@ def op4_quality_rules(spark, sf):
     return quality_rules.quality_table(table(spark, sf, "documents"))
 
 
+@query
+def op7_line_chunks(spark, sf):
+    done = line_chunks.dedup_lines(table(spark, sf, "documents"))
+    return done.select(
+        "doc_id", F.col("_n_removed").alias("n_removed"), F.length("text").alias("n_chars"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 @query
 def op8_warc(spark, sf):
     members = warc.archive_pages(table(spark, sf, "pages"), min_bytes=0)
@@ -132,3 +140,23 @@ def _mixing_sql() -> str:
 
 
 ORACLE["op1_mixing"] = _mixing_sql()
+
+
+ORACLE["op7_line_chunks"] = f"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS n, len(ls) AS total FROM d),
+h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 7) AS BIGINT) AS h FROM l),
+r AS (
+  SELECT *, n = total OR ((h * {line_chunks.FACTOR} + coalesce(lag(h) OVER w, 0)) >> 4) % {line_chunks.MEAN_LINES} = 0 AS closes
+  FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY n)),
+c AS (
+  SELECT *, coalesce(sum(CAST(closes AS INT)) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+  FROM r),
+k AS (SELECT doc_id, pos, count(*) AS lines, string_agg(line, chr(10) ORDER BY n) AS body FROM c GROUP BY ALL),
+f AS (SELECT *, lines >= {line_chunks.LEAST_LINES} AND strlen(body) >= {line_chunks.LEAST_BYTES} AS worth FROM k),
+m AS (SELECT *, worth AND row_number() OVER (PARTITION BY body, worth ORDER BY doc_id, pos) > 1 AS gone FROM f),
+t AS (
+  SELECT doc_id, CAST(sum(CAST(gone AS INT)) AS INT) AS n_removed,
+         coalesce(string_agg(body, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
+  FROM m GROUP BY doc_id)
+SELECT doc_id, n_removed, CAST(length(text) AS INT) AS n_chars, sha256(text) AS text_sha256 FROM t"""
