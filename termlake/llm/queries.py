@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_chunks, mixing, quality_net, quality_rules, toxicity, warc
+from . import bpe, line_chunks, mixing, quality_net, quality_rules, spotsigs, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,6 +74,12 @@ def op9_quality_net(spark, sf):
     return quality_net.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query
+def op10_spotsigs(spark, sf):
+    prints = spotsigs.fingerprint_table(table(spark, sf, "documents"))
+    return prints.withColumns({c: F.round(c, 9) for c in ("near_edited", "near_next")})
+
+
 # Base32 by hand: hex digits to bits, bits in fives to letters.
 ORACLE["op8_warc"] = """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
@@ -160,3 +166,47 @@ t AS (
          coalesce(string_agg(body, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
   FROM m GROUP BY doc_id)
 SELECT doc_id, n_removed, CAST(length(text) AS INT) AS n_chars, sha256(text) AS text_sha256 FROM t"""
+
+
+def _spots_sql(name: str, source: str) -> str:
+    """CTEs that end in ``{name}(doc_id, hashes)`` for ``source(doc_id, text)``."""
+    anchors = ", ".join(f"'{a}'" for a in spotsigs.ANCHORS)
+    chain = " || ' ' || ".join(f"content[a.at - k + {i}]" for i in range(1, spotsigs.CHAIN + 1))
+    return f"""
+    {name}_w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS words FROM {source}),
+    {name}_p AS (
+      SELECT *, list_filter(words, lambda x: x NOT IN ({anchors})) AS content,
+             list_filter(list_transform(words, lambda x, i: CASE WHEN x IN ({anchors}) THEN struct_pack(at := i - 1, word := x) END), lambda a: a IS NOT NULL) AS anchors
+      FROM {name}_w),
+    {name}_s AS (
+      SELECT doc_id, text, words, list_distinct(list_filter(list_transform(anchors, lambda a, k1:
+               CASE WHEN a.at - (k1 - 1) + {spotsigs.CHAIN} <= len(content) THEN a.word || ' ' || {chain.replace('- k', '- (k1 - 1)')} END), lambda s: s IS NOT NULL)) AS spots
+      FROM {name}_p),
+    {name} AS (
+      SELECT doc_id, list_sort(list_distinct(list_transform(
+        CASE WHEN text = '' THEN [] WHEN len(spots) >= {spotsigs.LEAST_SPOTS} THEN spots
+             WHEN len(words) > 0 THEN list_concat(spots, words) ELSE [text] END,
+        lambda s: substr(md5(s), 1, {spotsigs.HEX})))) AS hashes
+      FROM {name}_s)"""
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    return (
+        f"round(CASE WHEN {a} = {b} THEN 1.0 WHEN len({a}) = 0 OR len({b}) = 0 THEN 0.0 ELSE "
+        f"CAST(len(list_intersect({a}, {b})) AS DOUBLE) / (len({a}) + len({b}) - len(list_intersect({a}, {b}))) END, 9)"
+    )
+
+
+ORACLE["op10_spotsigs"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+e AS (
+  SELECT doc_id, text, length(text) AS n, coalesce(lead(doc_id) OVER w, max(doc_id) OVER ()) AS next_id,
+         coalesce(lead(text) OVER w, arg_max(text, doc_id) OVER ()) AS next_text
+  FROM d WINDOW w AS (ORDER BY doc_id DESC)),
+x AS (SELECT doc_id, next_id, n, left(text, n - n // 3) || left(next_text, n // 3) AS text FROM e),
+{_spots_sql("own", "d")},
+{_spots_sql("changed", "x")}
+SELECT x.doc_id, x.n AS n_chars, sha256(x.text) AS edited_sha256,
+       array_to_string(own.hashes, '') AS fingerprint, array_to_string(changed.hashes, '') AS edited_fingerprint,
+       {_likeness_sql("own.hashes", "changed.hashes")} AS near_edited, {_likeness_sql("own.hashes", "after.hashes")} AS near_next
+FROM x JOIN own USING (doc_id) JOIN changed USING (doc_id) JOIN own AS after ON after.doc_id = x.next_id"""
