@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_chunks, mixing, quality_net, quality_rules, spotsigs, toxicity, warc
+from . import bpe, line_chunks, mixing, ngram_join, quality_net, quality_rules, spotsigs, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,6 +53,11 @@ def op4_quality_rules(spark, sf):
     return quality_rules.quality_table(table(spark, sf, "documents"))
 
 
+@query
+def op5_ngram_join(spark, sf):
+    return ngram_join.near_duplicates(table(spark, sf, "documents"))
+
+
 @query
 def op7_line_chunks(spark, sf):
     done = line_chunks.dedup_lines(table(spark, sf, "documents"))
