@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_chunks, mixing, ngram_join, quality_net, quality_rules, spotsigs, toxicity, warc
+from . import bpe, line_chunks, mixing, ngram_join, quality_net, quality_rules, repeats, spotsigs, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,6 +58,15 @@ def op5_ngram_join(spark, sf):
     return ngram_join.near_duplicates(table(spark, sf, "documents"))
 
 
+@query
+def op6_repeats(spark, sf):
+    done = repeats.remove_repeats(table(spark, sf, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, r: n + r["end"] - r["begin"])
+    return done.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op7_line_chunks(spark, sf):
     done = line_chunks.dedup_lines(table(spark, sf, "documents"))
