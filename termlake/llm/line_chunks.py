@@ -117,7 +117,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     all go becomes empty.
     """
     gone = removals(docs.select("doc_id", "text"))
-    same = docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_version"])
-    joined = docs.join(gone, same, "left").drop("_id", "_version")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), "doc_id", "text")
+    same = rows["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(rows["text"]) == gone["_version"])
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(_kept_text(F.col("text"), F.col("_gone")))
-    return joined.withColumn("text", text).withColumn("_n_removed", F.coalesce(F.size("_gone"), F.lit(0))).drop("_gone")
+    columns = [text.alias(c) if c == "text" else F.col(f"_row.{c}").alias(c) for c in docs.columns if c != "_n_removed"]
+    return rows.join(gone, same, "left").select(*columns, F.coalesce(F.size("_gone"), F.lit(0)).alias("_n_removed"))

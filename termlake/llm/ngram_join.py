@@ -260,5 +260,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
     without a doc_id all stay.
     """
     gone = near_duplicates(docs).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    rest = docs.where(F.col("doc_id").isNotNull()).join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    rest = docs.where(F.col("doc_id").isNotNull()).join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
     return rest.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))

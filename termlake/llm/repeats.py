@@ -51,6 +51,11 @@ def digest(data: bytes) -> int:
     return int.from_bytes(hashlib.md5(data).digest()[:8], "little", signed=True)
 
 
+def segment_digest(data: bytes, lead: int) -> int:
+    """Equal for segments of equal bytes that lie alike about their anchor."""
+    return digest(lead.to_bytes(4, "little", signed=True) + data)
+
+
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the ``GRAM`` bytes from every start, by doubling."""
     h, width, base = _TABLE[data], 1, _BASE
@@ -61,8 +66,8 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def anchor_runs(data: np.ndarray, length: int = LENGTH) -> list[tuple[int, int, int]]:
-    """``(anchor hash, first start, last start)`` of the runs that cover all string starts, in order."""
+def anchor_runs(data: np.ndarray, length: int = LENGTH) -> list[tuple[int, int, int, int]]:
+    """``(anchor hash, anchor place, first start, last start)`` of the runs that cover all string starts, in order."""
     runs = []
     window = length - GRAM + 1
     for base in range(0, len(data) - length + 1, PIECE):
@@ -79,7 +84,8 @@ def anchor_runs(data: np.ndarray, length: int = LENGTH) -> list[tuple[int, int,
         cuts = np.flatnonzero(at[1:] != at[:-1]) + 1
         first = np.r_[0, cuts]
         last = np.r_[cuts, n] - 1
-        runs += zip(h[at[first]].view(np.int64).tolist(), (first + base).tolist(), (last + base).tolist())
+        own = at[first]
+        runs += zip(h[own].view(np.int64).tolist(), (own + base).tolist(), (first + base).tolist(), (last + base).tolist())
     return runs
 
 
@@ -160,7 +166,10 @@ def repeated_starts(segments: list[bytes], length: int = LENGTH) -> list[list[tu
 
 
 def occurrences(texts: DataFrame) -> DataFrame:
-    """``(tid, anchor, first, last, seg, n)`` for a column ``text``: runs of each different text and how many texts are equal."""
+    """``(tid, anchor, first, last, lead, seg, n)`` for a column ``text``: runs of each different text and how many texts are equal.
+
+    ``lead``: bytes from the first start to the anchor.
+    """
 
     def make():
         def run(batch: pa.RecordBatch):
@@ -168,13 +177,13 @@ def occurrences(texts: DataFrame) -> DataFrame:
                 raw = text.encode("utf-8", "surrogatepass")
                 if len(raw) >= LENGTH:
                     tid = hashlib.md5(raw).digest()
-                    for anchor, first, last in anchor_runs(np.frombuffer(raw, np.uint8)):
-                        yield tid, anchor, first, last, digest(raw[first : last + LENGTH])
+                    for anchor, at, first, last in anchor_runs(np.frombuffer(raw, np.uint8)):
+                        yield tid, anchor, first, last, at - first, segment_digest(raw[first : last + LENGTH], at - first)
 
         return run
 
-    rows = map_rows(texts.select("text"), "tid binary, anchor bigint, first int, last int, seg bigint", make)
-    return rows.groupBy("tid", "anchor", "first", "last", "seg").agg(F.count(F.lit(1)).alias("n"))
+    rows = map_rows(texts.select("text"), "tid binary, anchor bigint, first int, last int, lead int, seg bigint", make)
+    return rows.groupBy("tid", "anchor", "first", "last", "lead", "seg").agg(F.count(F.lit(1)).alias("n"))
 
 
 _RUNS = "anchor bigint, seg bigint, runs array<struct<first:int,last:int>>"
@@ -198,7 +207,7 @@ def _whole(df: DataFrame) -> DataFrame:
 
 
 def _deal(segments: DataFrame, level: int) -> DataFrame:
-    """Runs of repeated starts for different segments ``(anchor, seg, n, size, bytes)`` of anchors with several."""
+    """Runs of repeated starts for different segments ``(anchor, seg, n, size, lead, bytes)`` of anchors with several."""
     counts = segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum("size").alias("weight"))
     counts = stage(counts, f"repeats-counts-{level}")
     many = counts.where(F.col("kinds") > GROUP).select("anchor")
@@ -213,23 +222,27 @@ def _deal(segments: DataFrame, level: int) -> DataFrame:
     if many.isEmpty():
         return done
 
+    width = -(-(LENGTH - GRAM + 1) // SPLIT ** (level + 1))
+
     def make():
         def run(batch: pa.RecordBatch):
-            for anchor, seg, n, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "seg", "n", "bytes"))):
+            for anchor, seg, n, lead, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "seg", "n", "lead", "bytes"))):
+                # Cells of starts are counted from the anchor, so equal strings fall into equal cells.
                 starts = len(data) - LENGTH + 1
-                width = max(1, -(-starts // SPLIT))
-                for first in range(0, starts, width):
-                    last = min(first + width, starts) - 1
-                    core = digest(b"%d:" % level + anchor.to_bytes(8, "little", signed=True) + data[last : first + LENGTH])
+                for cell in range(-lead // width, (starts - 1 - lead) // width + 1):
+                    begin = cell * width + lead
+                    first, last = max(0, begin), min(begin + width, starts) - 1
+                    # What all strings of the cell have in common, whether this segment has them all or not.
+                    core = digest(b"%d,%d,%d:" % (level, anchor, cell) + data[begin + width - 1 : begin + LENGTH])
                     part = data[first : last + LENGTH]
-                    yield anchor, seg, first, core, digest(part), n, len(part), part
+                    yield anchor, seg, first, core, segment_digest(part, lead - first), n, len(part), lead - first, part
 
         return run
 
-    schema = "anchor bigint, seg bigint, at int, core bigint, part bigint, n bigint, size int, bytes binary"
+    schema = "anchor bigint, seg bigint, at int, core bigint, part bigint, n bigint, size int, lead int, bytes binary"
     split = stage(map_rows(segments.join(broadcast_if_small(many), "anchor", "left_semi"), schema, make), f"repeats-split-{level}")
     kinds = split.groupBy(F.col("core").alias("anchor"), F.col("part").alias("seg")).agg(
-        F.sum("n").alias("n"), F.any_value("size").alias("size"), F.any_value("bytes").alias("bytes")
+        F.sum("n").alias("n"), *[F.any_value(c).alias(c) for c in ("size", "lead", "bytes")]
     )
     found = _resolve(stage(kinds, f"repeats-kinds-{level}"), level + 1).withColumnsRenamed({"anchor": "core", "seg": "part"})
     moved = F.transform("runs", lambda r: F.struct((r["first"] + F.col("at")).alias("first"), (r["last"] + F.col("at")).alias("last")))
@@ -257,7 +270,7 @@ def covered(docs: DataFrame) -> DataFrame:
     """
     occ = stage(occurrences(docs), "repeats-occurrences")
     kinds = occ.groupBy("anchor", "seg").agg(
-        F.sum("n").alias("n"), F.min(F.struct("tid", "first", "last")).alias("place")
+        F.sum("n").alias("n"), F.min(F.struct("tid", "first", "last", "lead")).alias("place")
     ).withColumn("size", F.col("place.last") - F.col("place.first") + LENGTH)
     kinds = stage(kinds, "repeats-kinds")
     anchors = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total"))
@@ -266,7 +279,7 @@ def covered(docs: DataFrame) -> DataFrame:
 
     # Bytes of the different segments of shared anchors, each read at one place.
     wanted = kinds.where("kinds > 1").groupBy("place.tid").agg(
-        F.collect_list(F.struct("anchor", "seg", "n", F.col("place.first").alias("first"), F.col("place.last").alias("last"))).alias("wanted")
+        F.collect_list(F.struct("anchor", "seg", "n", F.col("place.first").alias("first"), F.col("place.last").alias("last"), F.col("place.lead").alias("lead"))).alias("wanted")
     )
     wanted = stage(wanted, "repeats-wanted")
     tid = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("tid")
@@ -277,13 +290,13 @@ def covered(docs: DataFrame) -> DataFrame:
             for raw, items in zip(batch.column("raw").to_pylist(), batch.column("wanted").to_pylist()):
                 for w in items:
                     data = raw[w["first"] : w["last"] + LENGTH]
-                    yield w["anchor"], w["seg"], w["n"], len(data), data
+                    yield w["anchor"], w["seg"], w["n"], len(data), w["lead"], data
 
         return run
 
-    cut = map_rows(sources, "anchor bigint, seg bigint, n bigint, size int, bytes binary", make)
+    cut = map_rows(sources, "anchor bigint, seg bigint, n bigint, size int, lead int, bytes binary", make)
     # Equal texts yield their segments once each; one of them is enough.
-    segments = cut.groupBy("anchor", "seg").agg(F.any_value("n").alias("n"), F.any_value("size").alias("size"), F.any_value("bytes").alias("bytes"))
+    segments = cut.groupBy("anchor", "seg").agg(*[F.any_value(c).alias(c) for c in ("n", "size", "lead", "bytes")])
     runs = alone.unionByName(_deal(stage(segments, "repeats-segments"), 0))
 
     # Runs of starts become spans of bytes; a text's spans are at most as many as its runs.
