@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import CRAWL_DEPTH, DOMAINS, INTERVAL_SECONDS, LEMMAS, LINK_CAP, MAX_DEPTH, STOPWORDS, TOP_K
+from .queries import DOMAINS, INTERVAL_SECONDS, LEMMAS, LINK_CAP, STOPWORDS, TOP_K
 
 UUID_NS = "6ba7b8119dad11d180b400c04fd430c8"
 
@@ -101,7 +101,7 @@ SCORED = (
 )
 RANKED = (
     "hits AS (SELECT qid, id, s AS score, row_number() OVER (PARTITION BY qid ORDER BY s DESC, id) AS rank "
-    "FROM (SELECT qid, id, round(score, 6) AS s FROM sc) WHERE s > 0)"
+    "FROM (SELECT qid, id, round(score, 6) AS s FROM sc WHERE score > 0))"
 )
 PAGE_DOC = (
     f"{SHOWN}, pd AS (SELECT {_uuid('url')} AS id, url, {TITLE} AS title, {TEXT} AS text FROM shown), "
@@ -176,35 +176,21 @@ FIRST = (
 )
 
 
-def _crawl(depth: int, cap: int | None) -> str:
-    """Levels of the crawl: ``v{d}(url, pos, page_id)`` and ``f{d}(url, pos)``."""
-    ctes = [
-        LINKED,
-        "top AS (SELECT host, min(page_id) AS page_id FROM places GROUP BY host ORDER BY count(*) DESC, host LIMIT 1)",
-        f"f0 AS (SELECT {STRIP.format('p.url')} AS url, 0::BIGINT AS pos FROM top JOIN pages p USING (page_id))",
-    ]
-    for d in range(depth + 1):
-        seen = " UNION ALL ".join(f"SELECT url FROM v{e}" for e in range(d)) or "SELECT NULL AS url WHERE false"
-        ctes.append(
-            f"v{d} AS (SELECT f.url, f.pos, s.page_id FROM f{d} f LEFT JOIN std s USING (url) "
-            f"WHERE {NETLOC.format('f.url')} = (SELECT host FROM top) AND f.url NOT IN ({seen}))"
-        )
-        if d < depth:
-            ctes.append(
-                f"n{d} AS (SELECT l.dst AS url, v.pos AS pp, l.pos AS lp FROM v{d} v JOIN links l USING (page_id) "
-                f"LEFT JOIN v{d} o ON o.url = l.dst WHERE {NETLOC.format('l.dst')} = (SELECT host FROM top) "
-                f"AND l.dst NOT IN ({seen}) AND (o.url IS NULL OR o.pos > v.pos))"
-            )
-            ctes.append(
-                f"f{d + 1} AS (SELECT url, row_number() OVER (ORDER BY pp, lp) - 1 AS pos FROM (SELECT *, "
-                f"row_number() OVER (PARTITION BY url ORDER BY pp, lp) AS r FROM n{d}) WHERE r = 1"
-                + (f" QUALIFY row_number() OVER (ORDER BY pp, lp) <= {cap})" if cap else ")")
-            )
-    levels = " UNION ALL ".join(f"SELECT url, {d} AS depth, page_id FROM v{d}" for d in range(depth + 1))
-    return ", ".join([*ctes, f"visited AS ({levels})"])
-
-
-CRAWL = _crawl(CRAWL_DEPTH, LINK_CAP)
+def _root(column: str) -> str:
+    return f"regexp_replace(regexp_replace({NETLOC.format(column)}, '^.*@', ''), ':\\\\d*$', '')".replace("\\\\", "\\")
+
+
+# Every host from its first page. ``path`` is the list of link places that leads to
+# a URL first, so paths of one depth are in discovery order.
+CRAWL = (
+    f"{LINKED}, own_links AS (SELECT s.url AS src, l.dst, l.pos FROM links l JOIN std s USING (page_id) "
+    f"WHERE {_root('l.dst')} = {_root('s.url')}), "
+    f"seeds AS (SELECT {STRIP.format('arg_min(url, page_id)')} AS url, min(page_id) AS pos FROM places GROUP BY host), "
+    "reach(url, depth, path) USING KEY (url) AS (SELECT url, 0, [pos] FROM seeds UNION "
+    "SELECT o.dst, any_value(r.depth) + 1, min(list_append(r.path, o.pos)) FROM reach r JOIN own_links o ON o.src = r.url "
+    "LEFT JOIN recurring.reach k ON k.url = o.dst WHERE k.url IS NULL GROUP BY o.dst), "
+    "visited AS (SELECT r.url, r.depth, r.path, s.page_id FROM reach r LEFT JOIN std s USING (url))"
+)
 CRAWL_TEXT = (
     "fullpage AS (SELECT v.url, v.depth, p.page_id, (SELECT string_agg('<a>next</a>', '' ) FROM nexts n "
     "WHERE n.page_id = p.page_id) AS front FROM visited v JOIN pages p USING (page_id)), "
@@ -212,11 +198,11 @@ CRAWL_TEXT = (
     f"trim(repeat('next ', coalesce((SELECT k FROM nn WHERE nn.page_id = f.page_id), 0)::BIGINT) || {TEXT}) AS text "
     "FROM fullpage f JOIN shown USING (page_id))"
 )
-STATS = "SELECT depth, CAST(sum(p) AS BIGINT) AS processed, CAST(sum(l) AS BIGINT) AS next_links FROM ({}) GROUP BY 1".format(
-    " UNION ALL ".join(
-        [f"SELECT {d} AS depth, (page_id IS NOT NULL)::INT AS p, 0 AS l FROM v{d}" for d in range(CRAWL_DEPTH + 1)]
-        + [f"SELECT {d - 1} AS depth, 0 AS p, 1 AS l FROM f{d}" for d in range(1, CRAWL_DEPTH + 1)]
-    )
+STATS = (
+    "done AS (SELECT depth, count(page_id) AS processed FROM visited GROUP BY depth), "
+    "nexts_found AS (SELECT v.depth, count(DISTINCT o.dst) AS next_links FROM visited v JOIN own_links o ON o.src = v.url "
+    "LEFT JOIN reach k ON k.url = o.dst WHERE v.page_id IS NOT NULL AND (k.depth > v.depth OR k.depth = v.depth AND k.path > v.path) "
+    "GROUP BY v.depth) SELECT depth, processed, coalesce(next_links, 0) AS next_links FROM done LEFT JOIN nexts_found USING (depth)"
 )
 
 FILES = (
@@ -232,7 +218,7 @@ ORACLE: dict[str, str] = {
     "collapse_ws": f"SELECT doc_id, {_collapse('text')} AS text FROM documents",
     "url_strip_fragment": f"SELECT page_id, {STRIP.format('url')} AS url_strip_fragment FROM pages",
     "url_host": f"SELECT page_id, lower({NETLOC.format('url')}) AS url_host FROM pages",
-    "url_host_root": f"SELECT page_id, {NETLOC.format('url')} AS url_host_root FROM pages",
+    "url_host_root": f"SELECT page_id, {_root('url')} AS url_host_root FROM pages",
     "url_path": f"SELECT page_id, {PATH.format('url')} AS url_path FROM pages",
     "doc_id": f"SELECT page_id, {_uuid('url')} AS doc_id FROM pages",
     "http_only": "SELECT page_id, url FROM pages WHERE starts_with(url, 'http')",
@@ -317,7 +303,7 @@ ORACLE: dict[str, str] = {
     "search_topk": f"WITH {DOC}, {QVEC}, {SCORED}, {RANKED} SELECT qid, rank, score, id FROM hits WHERE rank <= {TOP_K}",
     "attach_meta": (
         f"WITH {DOC}, {QVEC}, {SCORED}, {RANKED} SELECT qid, rank, score, id, 'doc:' || id AS url, source AS title "
-        "FROM hits JOIN documents ON doc_id = id WHERE rank <= 1"
+        "FROM hits JOIN documents ON doc_id = id"
     ),
     "search": (
         f"WITH {PAGE_DOC}, {QVEC}, {SCORED}, {RANKED} SELECT qid, rank, score, id, url, title "
@@ -346,11 +332,11 @@ ORACLE: dict[str, str] = {
         f"WITH {LINKED}, {FIRST} SELECT url, row_number() OVER (ORDER BY parent_pos, link_pos) - 1 AS pos FROM firsts "
         f"QUALIFY pos < {LINK_CAP}"
     ),
-    "accumulate_pages": f"WITH {CRAWL} SELECT url, depth, page_id IS NOT NULL AS fetched FROM visited",
-    "crawl_closure": f"WITH {_crawl(MAX_DEPTH, None)}, {CRAWL_TEXT} SELECT url, depth, title, text FROM texts",
-    "crawl_stats": f"WITH {CRAWL} {STATS}",
+    "accumulate_pages": f"WITH RECURSIVE {CRAWL} SELECT url, depth, page_id IS NOT NULL AS fetched FROM visited",
+    "crawl_closure": f"WITH RECURSIVE {CRAWL}, {CRAWL_TEXT} SELECT url, depth, title, text FROM texts",
+    "crawl_stats": f"WITH RECURSIVE {CRAWL}, {STATS}",
     "crawl_and_index": (
-        f"WITH {_crawl(2, LINK_CAP)}, {CRAWL_TEXT}, "
+        f"WITH RECURSIVE {CRAWL}, {CRAWL_TEXT}, "
         "tok AS (SELECT url AS id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM texts), "
         f"{TC}, {_weights(n='(SELECT count(*) FROM texts)')} SELECT id AS url, term, cnt, round(w, 8) AS w FROM wt"
     ),
@@ -372,6 +358,10 @@ ORACLE: dict[str, str] = {
         "SELECT page_id::VARCHAR AS id, replace(replace(html || chr(10), chr(13) || chr(10), chr(10)), chr(13), chr(10)) "
         "AS text FROM pages UNION ALL SELECT 'none-' || page_id, '' FROM pages"
     ),
+    "search_index": (
+        f"WITH {FILES}, {QVEC}, {SCORED}, {RANKED} SELECT qid, rank, score, id, 'p' || id AS url, '' AS title "
+        f"FROM hits WHERE rank <= {TOP_K}"
+    ),
     "build_index_files": f"WITH {FILES} SELECT id, term, cnt, round(w, 8) AS w FROM wt",
 }
 _RECORDS = (

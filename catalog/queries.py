@@ -16,7 +16,7 @@ from termlake.operators import pacing, robots, search, stats
 from termlake.operators import weights as Wt
 from termlake.operators.keys import ranked
 from termlake.plans import crawl, index
-from termlake.session import scratch_path, spread, stage
+from termlake.session import scratch_path, stage
 from termlake.sources import indexfiles, textfiles
 from termlake.sources.pages import read_pages
 
@@ -29,8 +29,6 @@ STOPWORDS = ["the", "of", "and", "to", "in", "is", "la", "le", "les", "de", "des
 LEMMAS = [("are", "be"), ("was", "be"), ("with", "wi"), ("un", "une"), ("das", "ein"), ("una", "un"), ("for", "fo")]
 INTERVAL_SECONDS = 6 * 3600.0
 LINK_CAP = 200
-CRAWL_DEPTH = 3
-MAX_DEPTH = 5
 TOP_K = 10
 
 
@@ -52,11 +50,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "documents"))
+    return table(spark, sf, "documents")
 
 
 def pages_table(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "pages"))
+    return table(spark, sf, "pages")
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -177,17 +175,14 @@ def stopword_anti(spark, sf):
 
 @query
 def lemma_join(spark, sf):
-    mapped = nz.lemma_join(C.term_freq(documents(spark, sf)), lemma_table(spark))
-    return mapped.groupBy("id", "term").agg(F.sum("cnt").alias("cnt"))
+    mapped = nz.normalize_docs(documents(spark, sf), lemmas=lemma_table(spark), min_len=0)
+    return mapped.where(F.col("term").isNotNull()).select("id", "term", "cnt")
 
 
 @query
 def normalize_tokens(spark, sf):
-    counts = C.term_freq(documents(spark, sf))
-    return nz.normalize_counts(counts, STOPWORDS, lemma_table(spark)).select("id", "term", "cnt")
-
-
-# Counts and weights
+    normal = nz.normalize_docs(documents(spark, sf), STOPWORDS, lemma_table(spark))
+    return normal.where(F.col("term").isNotNull()).select("id", "term", "cnt")
 
 
 @query
@@ -337,9 +332,9 @@ def search_topk(spark, sf):
 
 @query
 def attach_meta(spark, sf):
-    """Best document of each query with its URL and title."""
+    """Every hit of each query with its URL and title."""
     ix = document_index(spark, sf)
-    return search.search(ix.postings, ix.docs, batch(spark, sf), k=1, digits=6)
+    return search.search(ix.postings, ix.docs, batch(spark, sf), k=None, digits=6)
 
 
 @query_as("search")
@@ -427,17 +422,15 @@ def linked_pages(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("page_id", "url", F.concat(F.coalesce("front", F.lit("")), "html").alias("html"))
 
 
-def seed_url(pages: DataFrame) -> str:
-    """URL of the first page of the host with most pages."""
-    by_host = pages.groupBy(urls.netloc(F.col("url")).alias("host")).agg(
-        F.count(F.lit(1)).alias("n"), F.min_by("url", "page_id").alias("first")
-    )
-    return by_host.orderBy(F.desc("n"), "host").first()["first"]
+def seed_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The first page of every host, in order of page_id."""
+    pages = table(spark, sf, "pages")
+    return pages.groupBy(urls.netloc(F.col("url")).alias("host")).agg(F.min_by("url", "page_id").alias("url"), F.min("page_id").alias("pos"))
 
 
-def _crawl(spark, sf, depth: int = CRAWL_DEPTH, cap: int | None = LINK_CAP) -> crawl.Crawl:
-    seed = seed_url(table(spark, sf, "pages"))
-    return crawl.crawl_closure(linked_pages(spark, sf), seed, depth, max_links_per_depth=cap)
+def _crawl(spark, sf) -> crawl.Crawl:
+    """All hosts, to the end and without a cap."""
+    return crawl.crawl_closure(stage(linked_pages(spark, sf), "linked"), seed_table(spark, sf), max_depth=None)
 
 
 def _whole_graph(spark, sf) -> DataFrame:
@@ -480,8 +473,7 @@ def accumulate_pages(spark, sf):
 
 @query
 def crawl_closure(spark, sf):
-    """To the greatest depth and without a cap."""
-    return _crawl(spark, sf, MAX_DEPTH, None).pages.select("url", "depth", "title", "text")
+    return _crawl(spark, sf).pages.select("url", "depth", "title", "text")
 
 
 @query
@@ -492,10 +484,9 @@ def crawl_stats(spark, sf):
 
 @query
 def crawl_and_index(spark, sf):
-    """Crawl of the largest host, indexed."""
-    pages = table(spark, sf, "pages")
-    seed = seed_url(pages)
-    found, ix = crawl.crawl_and_index(linked_pages(spark, sf), [seed], max_depth=2)
+    """Crawl of all hosts, indexed."""
+    linked = stage(linked_pages(spark, sf), "linked")
+    found, ix = crawl.crawl_and_index(linked, seed_table(spark, sf), max_depth=None)
     weighted = ix.weighted.join(ix.docs.select("id", "url"), "id")
     return weighted.select("url", "term", "cnt", F.round("w", 8).alias("w"))
 
@@ -614,3 +605,15 @@ def build_index_files(spark, sf):
     manifest, root = text_files(spark, sf)
     ix = index.build_index_files(manifest, root, STOPWORDS, lemma_table(spark))
     return ix.weighted.select("id", "term", "cnt", F.round("w", 8).alias("w"))
+
+
+@query
+def search_index(spark, sf):
+    """The index of text files written as ``{id, path, tfidf}`` lines, read leniently and searched."""
+    manifest, root = text_files(spark, sf)
+    ix = index.build_index_files(manifest, root, STOPWORDS, lemma_table(spark))
+    out = scratch_path(spark, "file_index")
+    # The folder of a run has a new name each time: only the file's own name is kept.
+    name = F.concat(F.lit("p"), F.col("id"))
+    indexfiles.write_file_index(ix.records.withColumn("url", name), out)
+    return index.search_index(spark, out, batch(spark, sf), TOP_K, digits=6)

@@ -11,6 +11,7 @@ also the faster of the two, see the README.
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -47,8 +48,6 @@ TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 ANCHOR = r"(?is)<a\s[^>]*>"
 HREF = r"(?is)[\s\"'/]href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
 
-EXTRACTED = "struct<text:string,title:string,links:array<string>>"
-
 
 def collapse_ws(text: Column) -> Column:
     """Whitespace runs become one space, ends trimmed."""
@@ -106,40 +105,57 @@ class _PageReader(HTMLParser):
     HIDDEN = frozenset(("script", "style", "noscript"))
     SPECIAL = frozenset(("template", "rt", "rp"))
 
-    def __init__(self, url: str):
+    def __init__(self, url: str, links: bool = True, text: bool = True):
         super().__init__(convert_charrefs=True)
         self.url, self.open, self.nodes, self.links = url, [], [], []
         self.title, self.title_at, self.in_node = None, None, False
+        self.with_links, self.with_text = links, text
+        # How often each tag is open: markup that never closes its tags is read in linear time.
+        self.count = Counter()
+        self.hidden = self.special = 0
+
+    def _enter(self, tag):
+        self.open.append(tag)
+        self.count[tag] += 1
+        self.hidden += tag in self.HIDDEN
+        self.special += tag in self.SPECIAL
+
+    def _leave(self):
+        tag = self.open.pop()
+        self.count[tag] -= 1
+        self.hidden -= tag in self.HIDDEN
+        self.special -= tag in self.SPECIAL
+        return tag
 
     def handle_starttag(self, tag, attrs):
         self.in_node = False
-        hidden = self.HIDDEN.intersection(self.open)
-        if tag == "a" and not hidden:
+        if tag == "a" and not self.hidden and self.with_links:
             href = [v or "" for k, v in attrs if k == "href"]
             if href:
+                # A target that cannot be resolved is left out, the page stays.
                 try:
                     self.links.append(urljoin(self.url, href[-1]))
                 except ValueError:
                     pass
-        if tag == "title" and self.title is None and not hidden:
+        if tag == "title" and self.title is None and not self.hidden:
             self.title, self.title_at = [], len(self.open)
         if tag not in self.VOID:
-            self.open.append(tag)
+            self._enter(tag)
 
     def handle_endtag(self, tag):
         self.in_node = False
-        if tag in self.open:
-            while self.open.pop() != tag:
+        if self.count[tag]:
+            while self._leave() != tag:
                 pass
             if self.title_at is not None and len(self.open) <= self.title_at:
                 self.title_at = None
 
     def handle_data(self, data):
         # Neighbouring pieces without markup between them are one text node.
-        if self.HIDDEN.intersection(self.open):
+        if self.hidden:
             return
         targets = [self.title] if self.title_at is not None else []
-        if not self.SPECIAL.intersection(self.open):
+        if self.with_text and not self.special:
             targets.append(self.nodes)
         for nodes in targets:
             if self.in_node and nodes:
@@ -160,23 +176,28 @@ class _PageReader(HTMLParser):
             self.in_node = False
 
 
-def read_page(url: str, html: str) -> tuple[str, str, list[str]]:
-    """``(text, title, links)`` of one page by the standard library's parser."""
-    reader = _PageReader(url)
+def read_page(url: str, html: str, want: tuple[str, ...] = ("text", "title", "links")) -> tuple:
+    """The wanted fields of one page by the standard library's parser."""
+    reader = _PageReader(url, "links" in want, "text" in want)
     reader.feed(html)
     reader.close()
-    title = "".join(node.strip() for node in reader.title or [])
-    return " ".join(" ".join(reader.nodes).split()), title, reader.links
+    fields = {
+        "text": lambda: " ".join(" ".join(reader.nodes).split()),
+        "title": lambda: "".join(node.strip() for node in reader.title or []),
+        "links": lambda: reader.links,
+    }
+    return tuple(fields[w]() for w in want)
 
 
-def _parse_batch(url: pd.Series, html: pd.Series) -> pd.DataFrame:
-    rows = [(None, None, None) if h is None else read_page(u or "", h) for u, h in zip(url, html)]
-    return pd.DataFrame(rows, columns=["text", "title", "links"])
+def parse_pages(url: Column, html: Column, want: tuple[str, ...] = ("text", "title", "links")) -> Column:
+    """Struct of the wanted fields by the parser; null HTML gives nulls."""
 
+    def batch(url: pd.Series, html: pd.Series) -> pd.DataFrame:
+        rows = [(None,) * len(want) if h is None else read_page(u or "", h, want) for u, h in zip(url, html)]
+        return pd.DataFrame(rows, columns=list(want))
 
-def parse_pages(url: Column, html: Column) -> Column:
-    """``struct<text, title, links>`` by the parser; null HTML gives nulls."""
-    return F.pandas_udf(_parse_batch, EXTRACTED)(url, html)
+    kinds = {"text": "string", "title": "string", "links": "array<string>"}
+    return F.pandas_udf(batch, f"struct<{','.join(f'{w}:{kinds[w]}' for w in want)}>")(url, html)
 
 
 # Executors need not have this package installed: ship the reader with the task.
@@ -198,7 +219,7 @@ def extract(
     url, html = F.col(url_col), F.col(html_col)
     kept = [c for c in pages.columns if c != html_col]
     if parser == "html":
-        parsed = pages.withColumn("_page", parse_pages(url, html))
+        parsed = pages.withColumn("_page", parse_pages(url, html, want))
         return parsed.select(*kept, *[F.col(f"_page.{w}").alias(w) for w in want])
     # A projection of its own: each field below reads the cleaned page.
     shown = pages.withColumn("_shown", drop_hidden(html))

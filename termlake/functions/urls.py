@@ -3,6 +3,7 @@ next to the scan and below any Python step."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -29,12 +30,20 @@ def host(url: Column) -> Column:
     return F.lower(netloc(url))
 
 
-def host_root(url: Column, strip_port: bool = False) -> Column:
-    """Key that keeps a crawl on one host: the host as written in the URL."""
-    root = netloc(url)
+def host_root(url: Column, strip_port: bool = True) -> Column:
+    """Key that keeps a crawl on one host: the host without user info and, by
+    default, without the port. No public-suffix list is used."""
+    root = F.regexp_replace(netloc(url), r"^.*@", "")
     return F.regexp_replace(root, r":\d*$", "") if strip_port else root
 
 
+def plain_root(url: str, strip_port: bool = True) -> str:
+    """:func:`host_root` of a string."""
+    found = re.match(_NETLOC, url)
+    root = found.group(1).rpartition("@")[2] if found else ""
+    return re.sub(r":\d*$", "", root) if strip_port else root
+
+
 def path(url: Column) -> Column:
     """Path (``/`` when empty, parameters of the last segment dropped) and query."""
     bare = F.regexp_replace(F.regexp_extract(url, _PATH, 1), r";[^/]*$", "")
@@ -84,6 +93,6 @@ def in_domains(url: Column, domains: Iterable[str] | None) -> Column:
     return F.exists(tails, lambda t: t.isin(names))
 
 
-def same_root(url: Column, root: str | Column, strip_port: bool = False) -> Column:
+def same_root(url: Column, root: str | Column, strip_port: bool = True) -> Column:
     """True where the URL has the given host root; an unreadable URL counts as equal."""
     return F.coalesce(host_root(url, strip_port) == root, F.lit(True))

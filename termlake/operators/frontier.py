@@ -17,7 +17,7 @@ from ..session import broadcast_if_small
 from .keys import ranked
 
 # Up to this cap a level is ranked by one top-n; a larger one by range blocks.
-SMALL_CAP = 100_000
+SMALL_CAP = 1_000
 
 
 def link_graph(pages: DataFrame, parser: str = "html") -> DataFrame:
@@ -45,9 +45,15 @@ def frontier_fetch(frontier: DataFrame, graph: DataFrame) -> DataFrame:
     return graph.join(broadcast_if_small(frontier), "url")
 
 
-def discovered(fetched: DataFrame) -> DataFrame:
-    """``(url, parent_pos, link_pos)``: links of fetched pages."""
-    return fetched.select(F.col("pos").alias("parent_pos"), F.posexplode("links").alias("link_pos", "url"))
+def discovered(fetched: DataFrame, same_root: bool | None = None) -> DataFrame:
+    """``(url, parent_pos, link_pos)``: links of fetched pages.
+
+    With ``same_root`` (whether ports are stripped) only links to the page's own host root.
+    """
+    rows = fetched.select(F.col("url").alias("_from"), F.col("pos").alias("parent_pos"), F.posexplode("links").alias("link_pos", "url"))
+    if same_root is not None:
+        rows = rows.where(urls.host_root(F.col("url"), same_root) == urls.host_root(F.col("_from"), same_root))
+    return rows.drop("_from")
 
 
 def dedupe_links(links: DataFrame) -> DataFrame:
@@ -64,6 +70,9 @@ def dedupe_links(links: DataFrame) -> DataFrame:
 def unseen_links(links: DataFrame, visited: DataFrame, depth: int) -> DataFrame:
     """Drops links to pages that were visited before their parent's turn ended.
 
+    For links already reduced to their first occurrence: if that one is dropped,
+    so are all later ones.
+
     A page of the same level that comes later is still a new link here; the
     next level drops it.
     """
@@ -74,11 +83,10 @@ def unseen_links(links: DataFrame, visited: DataFrame, depth: int) -> DataFrame:
 
 
 def depth_link_cap(links: DataFrame, cap: int | None) -> DataFrame:
-    """``(url, pos)``: the first ``cap`` links in discovery order."""
-    if cap is None:
-        # Order only matters to a cap.
-        return links.select("url", F.lit(0).cast("bigint").alias("pos"))
+    """``(url, pos)``: the first ``cap`` links in discovery order; None: all of them."""
     order = ["parent_pos", "link_pos"]
+    if cap is None:
+        return ranked(links, [], order, "pos").select("url", (F.col("pos") - 1).cast("bigint").alias("pos"))
     if cap <= SMALL_CAP:
         first = links.orderBy(*order).limit(cap)
         listed = first.agg(F.sort_array(F.collect_list(F.struct(*order, "url"))).alias("l"))

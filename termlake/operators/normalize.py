@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..functions import tokens as tk
+from ..session import broadcast_if_small, is_small
+from .counts import term_counts
+
+# Lists up to these lengths are looked up inside a document's row.
+ROW_STOPWORDS = 10_000
+ROW_LEMMAS = 256
 
 
 def as_words(words: DataFrame | Iterable[str], like: DataFrame) -> DataFrame:
@@ -46,3 +52,35 @@ def normalize_counts(
     if lemmas is None:
         return kept.select(id_col, "term", "cnt")
     return lemma_join(kept, lemmas).groupBy(id_col, "term").agg(F.sum("cnt").alias("cnt"))
+
+
+def normalize_docs(
+    docs: DataFrame,
+    stopwords: DataFrame | Iterable[str] = (),
+    lemmas: DataFrame | None = None,
+    min_len: int = 2,
+    tokenizer: Callable[[Column], Column] = tk.lex_alpha,
+) -> DataFrame:
+    """``(id, total, term, cnt)`` of ``docs(id, text)`` after :func:`normalize_counts`.
+
+    With short lists tokens are filtered, mapped and counted in the document's
+    own row, so nothing is shuffled; longer lists are joined. A document without
+    terms gives one row with a null term.
+    """
+    words = as_words(stopwords, docs)
+    pairs = None if lemmas is None else lemmas.groupBy("token").agg(F.min("lemma").alias("lemma"))
+    if is_small(words, ROW_STOPWORDS) and (pairs is None or is_small(pairs, ROW_LEMMAS)):
+        stop = [r["term"] for r in words.collect()]
+        mapped = [F.lit(x) for r in (pairs.collect() if pairs is not None else []) for x in (r["token"], r["lemma"])]
+
+        def normal(text: Column) -> Column:
+            kept = F.filter(tokenizer(text), lambda t: (F.length(t) >= min_len) & (~t.isin(stop) if stop else F.lit(True)))
+            return F.transform(kept, lambda t: F.coalesce(F.create_map(*mapped)[t], t)) if mapped else kept
+
+        return term_counts(docs, normal, keep_empty=True)
+    counts = normalize_counts(term_counts(docs, tokenizer).drop("total"), stopwords, lemmas, min_len)
+    grouped = counts.groupBy("id").agg(F.collect_list(F.struct("term", "cnt")).alias("c"))
+    total = F.aggregate("c.cnt", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    totals = grouped.select("id", total.alias("total"), "c")
+    rows = docs.select("id").join(totals, "id", "left")
+    return rows.select("id", F.coalesce("total", F.lit(0).cast("bigint")).alias("total"), F.inline_outer("c"))

@@ -1,8 +1,8 @@
 """Robots files as a table ``(host, body)``.
 
-Rules match by literal prefix, the first matching rule in file order decides,
-and a group is chosen as the first one naming the agent, else the first one for
-``*``. Wildcards inside rule paths are not supported.
+Rules match by prefix after percent escapes are read, or by wildcards on demand;
+the first matching rule in file order decides, and a group is chosen as the first
+one naming the agent, else the first one for ``*``.
 
 A robots file sits in one row, so it is read inside that row; only a host with
 several rows needs a shuffle, of one body per host and task.
@@ -18,6 +18,7 @@ from ..functions.numbers import to_float
 from ..functions.tokens import bind
 from ..session import broadcast_if_small
 
+# The names of the modes.
 MODES = ("allow-on-error", "block-on-error", "strict")
 DEFAULT_AGENT = "termlake/0.1"
 # Agents tried after the crawler's own.
@@ -26,7 +27,18 @@ _NEWLINE = r"\r\n|\r|\n"
 
 
 def one_per_host(robots: DataFrame) -> DataFrame:
-    return robots.groupBy("host").agg(F.max("body").alias("body"))
+    """One body for each host.
+
+    Of several the last one by the column ``order`` counts, as a later fetch
+    replaces an earlier one; without that column different bodies for a host are
+    an error, as nothing says which holds.
+    """
+    if "order" in robots.columns:
+        return robots.groupBy("host").agg(F.max_by("body", F.struct("order", "body")).alias("body"))
+    different = F.count_if(F.col("body").isNull()) > 0, F.min("body") != F.max("body")
+    clash = F.coalesce(different[1], F.lit(False)) | (different[0] & F.min("body").isNotNull())
+    message = F.concat(F.lit("several robots bodies and no order for "), F.first("host"))
+    return robots.groupBy("host").agg(F.when(clash, F.raise_error(message)).otherwise(F.max("body")).alias("body"))
 
 
 def _lines(body: Column) -> Column:
@@ -115,6 +127,19 @@ def _parsed(body: Column) -> Column:
     return bind(_lines(body), lambda raw: bind(directives(raw), lambda d: bind(grouped(d), split)))
 
 
+def unescaped(path: Column) -> Column:
+    """A path with its percent escapes read, so ``/a%20b`` equals ``/a b``; malformed ones stay."""
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+
+
+def as_pattern(prefix: Column) -> Column:
+    """Rule path with ``*`` and a last ``$`` as a regular expression."""
+    bare = F.regexp_replace(prefix, r"\$$", "")
+    pieces = F.replace(bare, F.lit("*"), F.lit(r"\E.*\Q"))
+    end = F.when(F.endswith(prefix, F.lit("$")), F.lit("$")).otherwise(F.lit(""))
+    return F.concat(F.lit(r"(?s)^\Q"), pieces, F.lit(r"\E"), end)
+
+
 def robots_rules(robots: DataFrame) -> DataFrame:
     """``(host, grp, agent, allow, prefix, pos)``, one row per agent and rule of a group."""
     parsed = one_per_host(robots).select("host", _parsed(F.col("body")).alias("p"))
@@ -156,23 +181,30 @@ def robots_filter(
     mode: str = "allow-on-error",
     agent: str = DEFAULT_AGENT,
     url_col: str = "url",
+    compiled: DataFrame | None = None,
+    wildcards: bool = False,
 ) -> DataFrame:
-    """Adds ``allowed``. In ``allow-on-error`` nothing is ever denied, so that
+    """Adds ``allowed``. ``wildcards``: in rule paths ``*`` stands for anything and a last ``$`` for the end. ``compiled``: the rules by :func:`compile_rules`, if at hand. In ``allow-on-error`` nothing is ever denied, so that
     mode reads no rules; the two others are equal."""
     if mode not in MODES:
-        raise ValueError("Invalid robots mode")
+        raise ValueError(f"unknown robots mode {mode!r}; one of {', '.join(MODES)}")
     if mode == "allow-on-error":
         return links.withColumn("allowed", F.lit(True))
     if robots is None:
         return links.withColumn("allowed", F.lit(False))
     # One row per host joins each URL once; adaptive execution splits hot hosts
     # when the table is too large to broadcast.
-    rules = compile_rules(robots, agent).withColumnRenamed("host", "_host")
+    rules = compile_rules(robots, agent) if compiled is None else compiled
+    rules = rules.withColumnRenamed("host", "_host")
     joined = links.withColumn("_host", urls.netloc(F.col(url_col))).join(broadcast_if_small(rules), "_host", "left")
-    path = urls.path(F.col(url_col))
+    joined = joined.withColumn("_path", unescaped(urls.path(F.col(url_col))))
+    path = F.col("_path")
 
     def permits(rules: Column) -> Column:
-        match = F.filter(rules, lambda r: F.startswith(path, r["prefix"]))
+        if wildcards:
+            match = F.filter(rules, lambda r: F.rlike(path, as_pattern(unescaped(r["prefix"]))))
+        else:
+            match = F.filter(rules, lambda r: F.startswith(path, unescaped(r["prefix"])))
         return F.coalesce(F.get(match, F.lit(0))["allow"], F.lit(True))
 
     allowed = F.coalesce(F.col("readable") & F.exists("rule_sets", permits), F.lit(False))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scores
 from ..functions import tokens as tk
 from ..session import BROADCAST_MAX_ROWS, is_small, measure
-from .keys import top_k
+from .keys import ranked, top_k
 
 # Fixed value: beyond this many values Parquet only sees the range of an IN list.
 PRUNE_TERMS = 10
@@ -66,10 +66,8 @@ def dot_product(matches: DataFrame, id_col: str = "id") -> DataFrame:
 
 def score(dots: DataFrame, digits: int | None = None) -> DataFrame:
     """Adds ``score`` and keeps positive ones; ``digits`` rounds before ranking."""
-    value = scores.cosine(F.col("dot"), F.col("norm"), F.col("qnorm"))
-    if digits is not None:
-        value = F.round(value, digits)
-    return dots.withColumn("score", value).where(F.col("score") > 0)
+    scored = dots.withColumn("score", scores.cosine(F.col("dot"), F.col("norm"), F.col("qnorm"))).where(F.col("score") > 0)
+    return scored if digits is None else scored.withColumn("score", F.round("score", digits))
 
 
 def search_topk(scored: DataFrame, k: int = 10, id_col: str = "id") -> DataFrame:
@@ -96,14 +94,18 @@ def search(
     postings: DataFrame,
     docs: DataFrame,
     queries: DataFrame,
-    k: int = 10,
+    k: int | None = 10,
     tokenizer: Callable[[Column], Column] = tk.tokenize_word,
     digits: int | None = None,
 ) -> DataFrame:
-    """``(qid, rank, score, id, url, title)`` for ``queries(qid, query)``."""
+    """``(qid, rank, score, id, url, title)`` for ``queries(qid, query)``; ``k=None``: every hit."""
     qvec = query_vector(queries, tokenizer)
-    hits = search_topk(score(dot_product(postings_match(postings, qvec)), digits), k)
-    # No more than k hits per query exist, so a short batch bounds the hits.
-    few = is_small(queries.select("qid"), max_rows=BROADCAST_MAX_ROWS // max(k, 1))
+    scored = score(dot_product(postings_match(postings, qvec)), digits)
+    if k is None:
+        hits, few = ranked(scored.select("qid", "id", "score").withColumn("_s", -F.col("score")), ["qid"], ["_s", "id"]), False
+    else:
+        hits = search_topk(scored, k)
+        # No more than k hits per query exist, so a short batch bounds the hits.
+        few = is_small(queries.select("qid"), max_rows=BROADCAST_MAX_ROWS // max(k, 1))
     found = attach_meta(hits.select("qid", "rank", "score", "id"), docs, few)
     return found.select("qid", "rank", "score", "id", "url", "title")

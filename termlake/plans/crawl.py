@@ -4,20 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html, urls
 from ..operators import frontier as fr
-from ..operators.robots import DEFAULT_AGENT, robots_filter
+from ..operators.robots import DEFAULT_AGENT, compile_rules, robots_filter
 from ..session import broadcast_if_small, stage
 from ..sources.pages import read_pages
 from .index import Index, build_index
 
 DEFAULT_MAX_DEPTH = 2
-DEFAULT_MAX_LINKS_PER_DEPTH = 200
+REGROUP = 8  # after so many levels the visited URLs are written as one table
 
 
 @dataclass
@@ -32,75 +31,94 @@ class Crawl:
 
 def crawl_closure(
     pages: DataFrame,
-    seeds: str | Iterable[str],
-    max_depth: int = DEFAULT_MAX_DEPTH,
+    seeds: str | Iterable[str] | DataFrame,
+    max_depth: int | None = DEFAULT_MAX_DEPTH,
     allowed_domains: Iterable[str] | None = None,
     robots: DataFrame | None = None,
     robots_mode: str = "allow-on-error",
     ignore_robots: bool = False,
-    max_links_per_depth: int | None = DEFAULT_MAX_LINKS_PER_DEPTH,
+    max_links_per_depth: int | None = None,
     agent: str = DEFAULT_AGENT,
-    strip_port: bool = False,
+    strip_port: bool = True,
     parser: str = "html",
 ) -> Crawl:
     """Breadth-first crawl of ``pages(url, html)`` from ``seeds``.
 
-    Only the host root of the first seed is crawled. A URL that a filter
-    rejects is not visited; one without a page is visited but gives no result.
+    A list of seeds crawls the host root of the first one only. A table
+    ``(url, pos)`` crawls every seed's own host root; links between roots are
+    not followed, and ``pos`` orders the seeds. A URL that a filter rejects is not
+    visited; one without a page is visited but gives no result. ``max_depth=None``
+    goes on until nothing new is found; there is no cap on links unless one is given.
     """
-    if not 0 <= max_depth <= 5:
-        raise ValueError("max_depth must be between 0 and 5")
+    if max_depth is not None and max_depth < 0:
+        raise ValueError("max_depth must not be negative")
     spark = pages.sparkSession
-    seeds = [seeds] if isinstance(seeds, str) else list(seeds or [])
     domains = None if allowed_domains is None else list(allowed_domains)
-    root = urlsplit(seeds[0]).netloc if seeds else ""
-    if strip_port:
-        root = root.rsplit(":", 1)[0] if root.rsplit(":", 1)[-1].isdigit() else root
+    if isinstance(seeds, DataFrame):
+        roots = seeds.select(urls.host_root(F.col("url"), strip_port).alias("_root")).distinct()
+        roots = broadcast_if_small(stage(roots, "roots"))
+        first = seeds.where(urls.is_http(F.col("url"))).select("url", F.col("pos").cast("bigint").alias("pos"))
+
+        def on_roots(df: DataFrame) -> DataFrame:
+            keyed = df.withColumn("_root", urls.host_root(F.col("url"), strip_port))
+            return keyed.join(roots, "_root", "left_semi").drop("_root")
+    else:
+        listed = [seeds] if isinstance(seeds, str) else list(seeds or [])
+        root = urls.plain_root(listed[0], strip_port) if listed else ""
+        rows = [(s, i) for i, s in enumerate(listed) if isinstance(s, str) and s.startswith("http")]
+        first = spark.createDataFrame(rows, "url string, pos bigint")
+
+        def on_roots(df: DataFrame) -> DataFrame:
+            return df.where(urls.same_root(F.col("url"), root, strip_port))
 
     def in_scope(df: DataFrame) -> DataFrame:
-        return df.where(
-            urls.in_domains(F.col("url"), domains) & urls.same_root(F.col("url"), root, strip_port)
-        )
+        return on_roots(df.where(urls.in_domains(F.col("url"), domains)))
+
+    rules = None
+    if robots is not None and robots_mode != "allow-on-error" and not ignore_robots:
+        # Compiled once, for the hosts that can be asked about.
+        hosts = first.select(urls.netloc(F.col("url")).alias("host"))
+        hosts = hosts.union(read_pages(pages).where(urls.is_http(F.col("url"))).transform(in_scope).select(urls.netloc(F.col("url"))))
+        rules = stage(compile_rules(robots.join(hosts.distinct(), "host", "left_semi"), agent), "robots")
 
     def permitted(df: DataFrame) -> DataFrame:
         if ignore_robots:
             return df
-        return robots_filter(df, robots, robots_mode, agent).where("allowed").drop("allowed")
+        return robots_filter(df, robots, robots_mode, agent, compiled=rules).where("allowed").drop("allowed")
 
-    # One pass over the host's pages; later levels read only URLs and links.
-    # The prefixes say no more than the filters do, but reach the scan.
-    near = F.startswith(F.col("url"), F.lit(f"http://{root}")) | F.startswith(F.col("url"), F.lit(f"https://{root}"))
-    usable = in_scope(read_pages(pages).where(near))
+    # One pass over the pages; later levels read only URLs and links.
+    usable = in_scope(read_pages(pages).where(urls.is_http(F.col("url"))))
     graph = stage(fr.link_graph(usable, parser), "links")
 
-    first = [(s, i) for i, s in enumerate(seeds) if isinstance(s, str) and s.startswith("http")]
-    frontier = spark.createDataFrame(first, "url string, pos bigint")
-    frontier = permitted(frontier.where(urls.in_domains(F.col("url"), domains)))
+    frontier = permitted(first.where(urls.in_domains(F.col("url"), domains)))
     frontier = frontier.select(urls.strip_fragment(F.col("url")).alias("url"), "pos")
     frontier = frontier.groupBy("url").agg(F.min("pos").alias("pos"))
 
-    levels: list[DataFrame] = []
+    seen: list[DataFrame] = []
     found = [spark.createDataFrame([], "url string, depth int")]
-    for depth in range(max_depth + 1):
-        todo = frontier
-        if levels:
-            todo = fr.visited_anti(todo, fr.accumulate_pages(levels))
-        todo = permitted(in_scope(todo))
-        # Unmatched URLs are failed fetches: visited without a page.
-        level = todo.join(graph, "url", "left").select(
-            "url", F.lit(depth).alias("depth"), "pos", F.col("key").isNotNull().alias("fetched"), "key", "links"
-        )
-        level = stage(level, f"level{depth}")
-        levels.append(level)
-        if depth == max_depth or level.isEmpty():
+    depth = 0
+    while True:
+        todo = fr.visited_anti(frontier, fr.accumulate_pages(seen)) if seen else frontier
+        todo = stage(permitted(in_scope(todo)), f"todo{depth}")
+        if todo.isEmpty():
             break
-        # Only levels are staged; a frontier is a short plan over them.
-        links = in_scope(fr.discovered(level.where("fetched")))
-        fresh = fr.dedupe_links(fr.unseen_links(links, fr.accumulate_pages(levels), depth))
-        frontier = fr.depth_link_cap(fresh, max_links_per_depth)
-        found.append(frontier.select("url", F.lit(depth + 1).alias("depth")))
-
-    visited = fr.accumulate_pages(levels).drop("links")
+        # The frontier is broadcast when small, so the graph is read in place.
+        hit = stage(fr.frontier_fetch(todo, graph), f"level{depth}")
+        missed = todo.join(hit.select("url"), "url", "left_anti")
+        at = F.lit(depth).alias("depth")
+        got = hit.select("url", at, "pos", F.lit(True).alias("fetched"), "key")
+        seen.append(got.unionByName(missed.select("url", at, "pos", F.lit(False).alias("fetched"), F.lit(None).cast(hit.schema["key"].dataType).alias("key"))))
+        if depth == max_depth:
+            break
+        links = fr.discovered(hit, same_root=None if not isinstance(seeds, DataFrame) else strip_port)
+        fresh = fr.unseen_links(fr.dedupe_links(in_scope(links)), fr.accumulate_pages(seen), depth)
+        frontier = stage(fr.depth_link_cap(fresh, max_links_per_depth), f"frontier{depth}")
+        depth += 1
+        found.append(frontier.select("url", F.lit(depth).alias("depth")))
+        if len(seen) % REGROUP == 0:
+            seen = [stage(fr.accumulate_pages(seen), "visited")]
+    none = graph.select("url", F.lit(0).alias("depth"), F.lit(0).cast("bigint").alias("pos"), F.lit(False).alias("fetched"), "key").limit(0)
+    visited = fr.accumulate_pages(seen or [none])
     return Crawl(visited, fr.accumulate_pages(found), _texts(usable, visited, parser))
 
 
@@ -117,9 +135,9 @@ def _texts(usable: DataFrame, visited: DataFrame, parser: str) -> DataFrame:
 
 def crawl_and_index(
     pages: DataFrame,
-    seeds: str | Iterable[str],
+    seeds: str | Iterable[str] | DataFrame,
     out_dir: str | None = None,
-    max_depth: int = 0,
+    max_depth: int | None = 0,
     allowed_domains: Iterable[str] | None = None,
     **how,
 ) -> tuple[DataFrame, Index]:
@@ -128,6 +146,6 @@ def crawl_and_index(
     An empty list of domains means no domain filter.
     """
     domains = None if allowed_domains is None else (list(allowed_domains) or None)
-    crawl = crawl_closure(pages, seeds, max_depth=int(max_depth), allowed_domains=domains, **how)
+    crawl = crawl_closure(pages, seeds, max_depth=max_depth, allowed_domains=domains, **how)
     found = stage(crawl.pages, "found")
     return found, build_index(found, out_dir, unique_ids=True)

@@ -6,14 +6,15 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import tokens as tk
 from ..functions import urls
 from ..operators import counts as C
 from ..operators import weights as Wt
-from ..operators.normalize import normalize_counts
+from ..operators.normalize import normalize_docs
+from ..operators.search import search
 from ..session import stage
 from ..sources import indexfiles, textfiles
 
@@ -121,16 +122,24 @@ def build_index_files(
     lemmas: DataFrame | None = None,
     min_len: int = 2,
 ) -> Index:
-    """Index of text files with normalized terms; ``docs`` is ``(id, path)``."""
+    """Index of text files with normalized terms; ``docs`` is ``(id, url, title, path)`` with the path as URL."""
     docs = textfiles.read_text_docs(manifest, root)
-    raw = stage(C.term_counts(docs).drop("total"), "raw_counts")
-    normal = normalize_counts(raw, stopwords, lemmas, min_len)
-    # A document's terms are collected per task first, then once per document;
-    # its total comes from the same row.
-    grouped = normal.groupBy("id").agg(F.collect_list(F.struct("term", "cnt")).alias("c"))
-    total = F.aggregate("c.cnt", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    totals = grouped.select("id", total.alias("total"), "c")
-    with_empty = manifest.select("id").join(totals, "id", "left").select(
-        "id", F.coalesce("total", F.lit(0).cast("bigint")).alias("total"), F.inline_outer("c")
-    )
-    return index_counts(manifest.select("id", "path"), with_empty, max(1, manifest.count()))
+    counts = normalize_docs(docs, stopwords, lemmas, min_len)
+    listed = manifest.select("id", F.col("path").alias("url"), F.lit("").alias("title"), "path")
+    return index_counts(listed, counts, max(1, manifest.count()))
+
+
+def search_index(
+    spark: SparkSession,
+    path: str,
+    queries: DataFrame,
+    k: int | None = 10,
+    whole: bool = False,
+    digits: int | None = None,
+) -> DataFrame:
+    """Searches the index file or folder ``path``, of any shape that the lenient reader takes.
+
+    The records are read once and staged; hits are ``(qid, rank, score, id, url, title)``.
+    """
+    records = stage(indexfiles.read_index(spark, path, whole), "read-index")
+    return search(indexfiles.record_postings(records), records.select("id", "url", "title"), queries, k, digits=digits)

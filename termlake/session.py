@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,29 +11,30 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
-_local_dirs: dict[str, str] = {}
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """Folder that every executor can read: ``spark.checkpoint.dir``.
-
-    A temporary folder stands in for it only on a local master.
-    """
+    """Folder that every executor can read: ``spark.checkpoint.dir``, or the context's checkpoint folder."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     named = named or sc.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if sc.applicationId not in _local_dirs:
-        _local_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="termlake-")
-    return _local_dirs[sc.applicationId]
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used before."""
-    return f"{scratch_root(spark)}/termlake/{uuid.uuid4().hex}/{label}"
+    return f"{scratch_root(spark)}/termlake/{_session_folder(spark)}/{uuid.uuid4().hex}/{label}"
+
+
+def _session_folder(spark: SparkSession) -> str:
+    return spark.sparkContext.applicationId
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has staged; tables read from there are gone."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/termlake/{_session_folder(spark)}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -49,18 +49,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a file scan that has fewer partitions than there are cores.
-
-    A few small files with one row group each would leave most cores idle in
-    the costly per-row steps. Such a scan holds less than one file split per
-    core, so moving it is cheap; any larger input is returned as it is. Only for
-    plain scans: asking a plan with shuffles for its partitions would run it.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def measure(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> tuple[int, bool]:

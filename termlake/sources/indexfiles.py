@@ -40,6 +40,11 @@ def write_index(records: DataFrame, path: str, mode: str = "errorifexists") -> N
     records.select("id", "url", "title", "tfidf").write.mode(mode).json(path)
 
 
+def write_file_index(records: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """One JSON record ``{id, path, tfidf{}}`` per line, as for an index of text files."""
+    records.select("id", F.col("url").alias("path"), "tfidf").write.mode(mode).json(path)
+
+
 def write_index_keyed(records: DataFrame, path: str, order: str | None = None, mode: str = "errorifexists") -> None:
     """Parquet with one row per id; the last by ``order`` wins.
 
@@ -100,7 +105,8 @@ def parse_index(lines: DataFrame, order: list[str], path_fallback: bool = True)
     )
     entries = F.when(single, alone).when(nested, many)
     rows = parsed.select(*order, F.posexplode_outer(entries).alias("_pos", "_e"))
-    records = rows.where(F.col("_e.key").isNotNull()).select(
+    # A record may have a null id.
+    records = rows.where(F.col("_e.value").isNotNull()).select(
         F.col("_e.key").alias("id"),
         F.struct(*order, "_pos").alias("_order"),
         _record(F.col("_e.value"), path_fallback).alias("_rec"),

@@ -17,33 +17,17 @@ def page(pid, url, *links, title="T"):
     return pid, url, f"<html><head><title>{title}</title></head><body>text {pid} {anchors}</body></html>"
 
 
-def plain_crawl(pages, seeds, max_depth, cap):
-    """Level by level in plain Python, with a strict cap per level."""
-    table = {}
-    for pid, url, html in sorted(pages):
-        table.setdefault(url.split("#")[0], (pid, html))
-    root = seeds[0].split("/")[2]
-    visited, out, current = set(), {}, [s for s in seeds if s.startswith("http")]
-    for depth in range(max_depth + 1):
-        nxt = []
-        for url in current:
-            url = url.split("#")[0]
-            if url in visited or url.split("/")[2] != root:
-                continue
-            visited.add(url)
-            if url not in table or not table[url][1]:
-                continue
-            text, title, links = read_page(url, table[url][1])
-            out[url] = (depth, title, text)
-            if depth < max_depth:
-                for link in links:
-                    link = link.split("#")[0]
-                    if not link.startswith("http") or link.split("/")[2] != root:
-                        continue
-                    if link not in visited and link not in nxt and len(nxt) < cap:
-                        nxt.append(link)
-        current = nxt
-    return out, visited
+def distances(pages, seeds):
+    """Fewest links from a seed to each URL of the seeds' host, by relaxing an edge list."""
+    edges = set()
+    for _, url, html in pages:
+        edges |= {(url.split("#")[0], x.split("#")[0]) for x in read_page(url, html)[2] if x.startswith("http://a.org/")} if html else set()
+    best = dict.fromkeys(seeds, 0)
+    for _ in range(len(pages) + 1):
+        for a, b in edges:
+            if a in best:
+                best[b] = min(best.get(b, 10**9), best[a] + 1)
+    return best
 
 
 def web(n=60, seed=1):
@@ -59,21 +43,57 @@ def web(n=60, seed=1):
     return pages
 
 
-@pytest.mark.parametrize("cap", [3, 10, 1000])
-def test_crawl_matches_plain_python(spark, cap):
-    pages = web()
-    seeds = ["http://a.org/0#s", "ftp://a.org/1", "http://b.org/0", "http://a.org/5", "http://a.org/empty"]
-    want, visited = plain_crawl(pages, seeds, 3, cap)
-    got = crawl.crawl_closure(spark.createDataFrame(pages, PAGE), seeds, 3, max_links_per_depth=cap)
-    assert {r["url"]: (r["depth"], r["title"], r["text"]) for r in got.pages.collect()} == want
-    assert {r["url"] for r in got.visited.collect()} == visited
+@pytest.mark.parametrize("depth", [0, 2, None])
+def test_depths_are_shortest_distances(spark, depth):
+    pages = web()[:-2]
+    got = crawl.crawl_closure(spark.createDataFrame(pages, PAGE), ["http://a.org/0", "http://a.org/5"], depth)
+    want = distances(pages, ["http://a.org/0", "http://a.org/5"])
+    assert {r["url"]: r["depth"] for r in got.visited.collect()} == {u: d for u, d in want.items() if depth is None or d <= depth}
 
 
-def test_crawl_without_cap_equals_a_large_cap(spark):
+def test_crawl_keeps_to_the_first_seed_and_the_first_page_of_a_url(spark):
+    seeds = ["http://a.org/0#s", "ftp://a.org/1", "http://b.org/0", "http://a.org/empty"]
+    got = crawl.crawl_closure(spark.createDataFrame(web(), PAGE), seeds, None)
+    assert all(r["url"].startswith("http://a.org/") for r in got.visited.collect())
+    titles = {r["url"]: r["title"] for r in got.pages.collect()}
+    assert titles["http://a.org/3"] == "T3" and "http://a.org/empty" not in titles
+    assert {r["url"]: r["fetched"] for r in got.visited.collect()}["http://a.org/empty"] is False
+
+
+def test_cap_takes_links_in_page_order(spark):
+    rows = [page(1, "http://a.org/", "/x", "/y", "/z"), page(2, "http://a.org/x", "/y", "/p"), page(3, "http://a.org/y", "/q", "/r")]
+    pages = spark.createDataFrame(rows, PAGE)
+
+    def levels(cap):
+        got = crawl.crawl_closure(pages, "http://a.org/", 2, max_links_per_depth=cap)
+        return sorted((r["depth"], r["url"].rpartition("/")[2]) for r in got.visited.collect())
+
+    assert levels(1) == [(0, ""), (1, "x"), (2, "y")]
+    # y is found again while its own turn is still to come, and takes a place.
+    assert levels(2) == [(0, ""), (1, "x"), (1, "y"), (2, "p")]
+    assert levels(None) == [(0, ""), (1, "x"), (1, "y"), (1, "z"), (2, "p"), (2, "q"), (2, "r")]
+
+
+def test_no_cap_equals_a_large_cap(spark):
     pages = spark.createDataFrame(web(), PAGE)
-    a = crawl.crawl_closure(pages, "http://a.org/0", 2, max_links_per_depth=None)
-    b = crawl.crawl_closure(pages, "http://a.org/0", 2, max_links_per_depth=10**6)
-    assert {(r["url"], r["depth"]) for r in a.visited.collect()} == {(r["url"], r["depth"]) for r in b.visited.collect()}
+    runs = [crawl.crawl_closure(pages, "http://a.org/0", 3, max_links_per_depth=cap) for cap in (None, 10**6, 900)]
+    visited = [sorted(tuple(r) for r in x.visited.select("url", "depth", "pos").collect()) for x in runs]
+    stats = [sorted(tuple(r) for r in fr.crawl_stats(x.visited, x.frontier).collect()) for x in runs]
+    assert visited[0] == visited[1] == visited[2] and stats[0] == stats[1] == stats[2]
+
+
+def test_a_table_of_seeds_crawls_each_root(spark):
+    rows = [page(1, "http://a.org/", "http://b.org/x", "/y"), page(2, "http://u@a.org:80/y"), page(3, "http://b.org/"), page(4, "http://b.org/x")]
+    pages = spark.createDataFrame([(*r[:2], r[2].replace("/y", "http://u@a.org:80/y")) for r in rows], PAGE)
+    seeds = spark.createDataFrame([("http://a.org/", 1), ("http://b.org/", 2)], "url string, pos long")
+    got = crawl.crawl_closure(pages, seeds, None)
+    assert {r["url"]: r["depth"] for r in got.visited.collect()} == {"http://a.org/": 0, "http://b.org/": 0, "http://u@a.org:80/y": 1}
+
+
+def test_small_levels_leave_the_graph_in_place(spark):
+    graph = spark.range(1000).select(F.concat(F.lit("u"), "id").alias("url"), F.col("id").alias("key"), F.array().cast("array<string>").alias("links"))
+    plan = fr.frontier_fetch(spark.createDataFrame([("u1", 0)], "url string, pos long"), graph)._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def test_large_caps_are_ranked_in_blocks(spark, monkeypatch):
@@ -91,7 +111,7 @@ def test_crawl_filters(spark):
     rules = spark.createDataFrame([("a.org", "User-agent: *\nDisallow: /x")], "host string, body string")
 
     def found(**how):
-        return {r["url"] for r in crawl.crawl_closure(pages, "http://a.org/", 1, **how).pages.collect()}
+        return {r["url"] for r in crawl.crawl_closure(pages, "http://a.org/", **{"max_depth": 1, **how}).pages.collect()}
 
     assert found() == {"http://a.org/", "http://a.org/x", "http://a.org/y"}
     assert found(robots=rules, robots_mode="strict") == {"http://a.org/", "http://a.org/y"}
@@ -100,20 +120,21 @@ def test_crawl_filters(spark):
     assert found(allowed_domains=["org"]) == found() and found(allowed_domains=["b.org"]) == set()
     assert found(allowed_domains=[]) == set()
     with pytest.raises(ValueError):
-        crawl.crawl_closure(pages, "http://a.org/", 6)
+        crawl.crawl_closure(pages, "http://a.org/", -1)
+    assert found(max_depth=9) == found()
 
 
 def test_crawl_and_index_writes_documents(spark, tmp_path):
-    url = "https://example.org/wiki/TestPage"
-    html = "<html><head><title>TestPage</title></head><body>Population of Poland is large.</body></html>"
+    url = "https://harbour.example/ferries"
+    html = "<html><head><title>Ferries</title></head><body>Boats leave before noon.</body></html>"
     pages = spark.createDataFrame([(1, url, html)], PAGE)
     out = str(tmp_path / "job")
     found, ix = crawl.crawl_and_index(pages, url, out, max_depth=0, allowed_domains=[])
-    assert [(r["url"], r["title"]) for r in found.collect()] == [(url, "TestPage")]
+    assert [(r["url"], r["title"]) for r in found.collect()] == [(url, "Ferries")]
     doc = spark.read.json(f"{out}/docs").first()
-    assert doc["url"] == url and doc["text"] == "TestPage Population of Poland is large."
+    assert doc["url"] == url and doc["text"] == "Ferries Boats leave before noon."
     record = spark.read.json(f"{out}/tfidf_index").first()
-    assert record["url"] == url and record["tfidf"]["poland"] == pytest.approx(0.115525, abs=1e-6)
+    assert record["url"] == url and record["tfidf"]["noon"] == pytest.approx(0.2 * 0.693147, abs=1e-6)
     assert ix.n_docs == 1
 
 
@@ -169,6 +190,29 @@ def test_robots(spark):
         robots.robots_filter(links, table, "sometimes")
 
 
+def test_escapes_and_wildcards_in_robots_paths(spark):
+    body = "User-agent: *\nDisallow: /a%20b\nDisallow: /*.pdf$\nDisallow: /x*y"
+    table = spark.createDataFrame([("a.org", body)], "host string, body string")
+    paths = ["/a b", "/a%20b/c", "/d.pdf", "/d.pdf?x", "/x12y3", "/*.pdf$", "/100%", "/a+b"]
+    links = spark.createDataFrame([(f"http://a.org{p}",) for p in paths], "url string")
+
+    def denied(**how):
+        got = robots.robots_filter(links, table, "strict", **how).where("not allowed")
+        return {r["url"].removeprefix("http://a.org") for r in got.collect()}
+
+    assert denied() == {"/a b", "/a%20b/c", "/*.pdf$"}
+    assert denied(wildcards=True) == {"/a b", "/a%20b/c", "/d.pdf", "/x12y3"}
+
+
+def test_robots_bodies_need_an_order(spark):
+    two = [("a.org", "User-agent: *\nDisallow: /", 1), ("a.org", "user-agent: *\nAllow: /", 2), ("b.org", None, 1)]
+    table = spark.createDataFrame(two, "host string, body string, order int")
+    links = spark.createDataFrame([("http://a.org/x",)], "url string")
+    assert robots.robots_filter(links, table, "strict").first()["allowed"]
+    with pytest.raises(Exception, match="several robots bodies"):
+        robots.robots_filter(links, table.drop("order"), "strict").collect()
+
+
 def test_robots_rules_rows(spark):
     table = spark.createDataFrame(ROBOTS[3:4], "host string, body string")
     rows = {(r["grp"], r["agent"], r["allow"], r["prefix"]) for r in robots.robots_rules(table).collect()}

