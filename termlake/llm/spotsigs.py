@@ -83,8 +83,11 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).when((a == "") | (b == ""), F.lit(0.0)).otherwise(shared / (n - shared))
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows of ``(doc_id, _hash, *columns)`` with ``_next_*`` of the next row by descending id, after the last the first.
+def with_next(docs: DataFrame, columns: list[str], made: dict[str, Column]) -> DataFrame:
+    """Rows of ``docs`` with ``_next_*`` for ``columns`` of the next row by descending id, after the last the first.
+
+    ``docs`` has ``doc_id`` and ``_hash``. Columns in ``made`` are added to the rows on the way,
+    after the few guests below were looked up, so their cost is paid once a row.
 
     Null ids come last; equal ids are ordered by the hash of their text. Ids are
     cut into blocks: quantiles, and equal steps between two of them. Each row is
@@ -93,8 +96,7 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     """
     n = docs.count()
     if n == 0:
-        nothing = {f"_next_{c}": F.col(c) for c in columns}
-        return docs.withColumns(nothing)
+        return docs.withColumns(made).withColumns({f"_next_{c}": F.col(c) for c in columns})
     steps = max(1, math.ceil(n / (BLOCK_ROWS * (EDGES + 1))))
     cuts = min(EDGES, max(0, n // BLOCK_ROWS))
     shares = [(i + 1) / (cuts + 1) for i in range(cuts)]
@@ -124,7 +126,7 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     guests = blocked.join(
         broadcast_if_small(ring), blocked["doc_id"].eqNullSafe(F.col("_id")) & (blocked["_hash"] == F.col("_h"))
     ).withColumn("_block", F.col("_to")).drop("_to", "_id", "_h")
-    both = blocked.withColumn("_guest", F.lit(False)).unionByName(guests.withColumn("_guest", F.lit(True)))
+    both = blocked.withColumn("_guest", F.lit(False)).unionByName(guests.withColumn("_guest", F.lit(True))).withColumns(made)
     w = W.partitionBy("_block").orderBy(F.col("_guest"), F.col("doc_id").desc_nulls_last(), F.col("_hash").desc())
     for c in columns:
         both = both.withColumn(f"_next_{c}", F.lead(c).over(w))
@@ -139,7 +141,7 @@ def fingerprint_table(docs: DataFrame) -> DataFrame:
     """
     ready = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     ready = ready.withColumn("_hash", F.xxhash64("text"))
-    paired = with_next(ready.withColumn("fingerprint", fingerprint(F.col("text"))), ["text", "fingerprint"])
+    paired = with_next(ready, ["text", "fingerprint"], {"fingerprint": fingerprint(F.col("text"))})
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("_next_text"), F.lit(1), third))
