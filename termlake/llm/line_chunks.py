@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import broadcast_if_small, stage
 
 REACH = 2
 MEAN_LINES = 3
@@ -91,8 +91,10 @@ def repeated(docs: DataFrame) -> DataFrame:
     found = found.select("doc_id", "version", "c.pos", "c.body").withColumn("key", F.xxhash64("body"))
     ends = [F.min(_place()).alias("first"), F.max(_place()).alias("last")]
     keys = stage(found.groupBy("key").agg(*ends).where("first != last").select("key"), "line-keys")
-    again = stage(found.join(keys, "key", "left_semi"), "line-chunks")
+    # Measured small, the repeated hashes go to the texts; else chunks are shuffled by hash.
+    again = stage(found.join(broadcast_if_small(keys), "key", "left_semi"), "line-chunks")
     groups = again.groupBy("key", "body").agg(*ends).where("first != last").select("key", "body", "first")
+    groups = broadcast_if_small(stage(groups, "line-groups"))
     return again.join(groups, ["key", "body"]).where(_place() != F.col("first")).select("doc_id", "version", "pos").distinct()
 
 
@@ -116,7 +118,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     Documents without repeats keep their text, null included. A text whose chunks
     all go becomes empty.
     """
-    gone = removals(docs.select("doc_id", "text"))
+    gone = broadcast_if_small(removals(docs.select("doc_id", "text")))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), "doc_id", "text")
     same = rows["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(rows["text"]) == gone["_version"])
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(_kept_text(F.col("text"), F.col("_gone")))
