@@ -326,8 +326,8 @@ def positive_overlap(spark, sf):
 
 @query
 def search_topk(spark, sf):
-    scored = search.score(search.dot_product(_matches(spark, sf)), digits=6)
-    return search.search_topk(scored, TOP_K).select("qid", "rank", "score", "id")
+    records = document_index(spark, sf).records
+    return search.search_records(records, batch(spark, sf), k=TOP_K, digits=6).select("qid", "rank", "score", "id")
 
 
 @query
@@ -342,8 +342,8 @@ def search_batch(spark, sf):
     """Index of the pages written to files, then searched from the files."""
     out = scratch_path(spark, "page_index")
     ix = index.build_index(page_docs(spark, sf), out, unique_ids=True)
-    postings = spark.read.parquet(f"{out}/postings")
-    return search.search(postings, ix.docs, batch(spark, sf), k=TOP_K, digits=6)
+    records = spark.read.schema(ix.records.schema).parquet(f"{out}/tfidf_keyed")
+    return search.search_records(records, batch(spark, sf), k=TOP_K, digits=6)
 
 
 # Pacing and robots

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,11 @@ from .keys import ranked, top_k
 
 # Fixed value: beyond this many values Parquet only sees the range of an IN list.
 PRUNE_TERMS = 10
+# A batch measured to be under these limits is scored inside the documents' rows.
+ROW_BATCH_TERMS = 100_000
+ROW_BATCH_BYTES = 8 * 1024 * 1024
+# Scored pairs that a task holds before it goes back to its best k per query.
+HELD_PAIRS = 500_000
 
 
 def query_vector(
@@ -109,3 +116,90 @@ def search(
         few = is_small(queries.select("qid"), max_rows=BROADCAST_MAX_ROWS // max(k, 1))
     found = attach_meta(hits.select("qid", "rank", "score", "id"), docs, few)
     return found.select("qid", "rank", "score", "id", "url", "title")
+
+
+def best_in_rows(records: DataFrame, qvec: DataFrame, k: int, margin: float) -> DataFrame:
+    """``(qid, id, score)``: each task's best ``k`` documents per query, with positive scores.
+
+    A document is one row of ``records(id, tfidf)``, so its terms are looked up
+    in the batch there and no (query, document) pair is shuffled before it was
+    found to be among a task's best. Pairs within ``margin`` of the k-th stay,
+    so rounding and ties are decided by the caller.
+    """
+    rows = qvec.collect()
+    names = sorted({r["qid"] for r in rows})
+    place = {q: i for i, q in enumerate(names)}
+    table: dict[str, list[tuple[int, float]]] = {}
+    for r in rows:
+        table.setdefault(r["term"], []).append((place[r["qid"]], r["qw"] / r["qnorm"]))
+    arrays = {t: (np.array([i for i, _ in x]), np.array([w for _, w in x])) for t, x in table.items()}
+    kinds = {f.name: f.dataType.simpleString() for f in records.schema.fields} | {f.name: f.dataType.simpleString() for f in qvec.schema.fields}
+    held_pairs = HELD_PAIRS
+
+    def best(query: np.ndarray, value: np.ndarray) -> np.ndarray:
+        order = np.lexsort((-value, query))
+        starts = np.flatnonzero(np.r_[True, query[order][1:] != query[order][:-1]])
+        sizes = np.diff(np.r_[starts, len(order)])
+        kth = value[order][starts + np.minimum(sizes, k) - 1]
+        return order[value[order] >= np.repeat(kth, sizes) - margin]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, query, value = [], [], []
+        pending = 0
+
+        def pruned():
+            q, v = np.concatenate(query), np.concatenate(value)
+            keep = best(q, v)
+            return [ids[i] for i in keep.tolist()], q[keep], v[keep]
+
+        for batch in batches:
+            for doc, terms, weights in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                hits = [(arrays[t], w) for t, w in zip(terms or (), weights or ()) if t in arrays]
+                norm = np.sqrt(sum(w * w for w in weights or ()))
+                if not hits or not norm:
+                    continue
+                dots = np.zeros(len(names))
+                for (at, qw), w in hits:
+                    dots[at] += qw * w
+                found = np.flatnonzero(dots > 0)
+                ids += [doc] * len(found)
+                query.append(found)
+                value.append(dots[found] / norm)
+                pending += len(found)
+                if pending > held_pairs:
+                    ids, q, v = pruned()
+                    query, value, pending = [q], [v], 0
+        if ids:
+            ids, q, v = pruned()
+            yield pa.RecordBatch.from_pydict({"qid": [names[i] for i in q.tolist()], "id": ids, "score": v})
+
+    columns = records.select("id", F.map_keys("tfidf").alias("terms"), F.map_values("tfidf").alias("weights"))
+    return columns.mapInArrow(run, f"qid {kinds['qid']}, id {kinds['id']}, score double")
+
+
+def search_records(
+    records: DataFrame,
+    queries: DataFrame,
+    k: int = 10,
+    tokenizer: Callable[[Column], Column] = tk.tokenize_word,
+    digits: int | None = None,
+) -> DataFrame:
+    """As :func:`search`, over index records ``(id, url, title, tfidf MAP)``.
+
+    A batch of measured size is scored in the records' rows; a larger one goes
+    through postings.
+    """
+    if k < 0:
+        raise ValueError("k must not be negative")
+    qvec = query_vector(queries, tokenizer)
+    if not is_small(qvec, ROW_BATCH_TERMS, ROW_BATCH_BYTES) or k == 0:
+        normed = records.select("id", scores.norm(F.map_values("tfidf")).alias("norm"), "tfidf")
+        rows = normed.select("id", "norm", F.explode_outer("tfidf").alias("term", "w")).where(F.col("term").isNotNull())
+        return search(rows, records, queries, k, tokenizer, digits)
+    margin = 1e-12 if digits is None else 10.0**-digits
+    found = best_in_rows(records, qvec, k, margin)
+    if digits is not None:
+        found = found.withColumn("score", F.round("score", digits))
+    few = is_small(queries.select("qid"), max_rows=BROADCAST_MAX_ROWS // max(k, 1))
+    hits = attach_meta(search_topk(found, k).select("qid", "rank", "score", "id"), records, few)
+    return hits.select("qid", "rank", "score", "id", "url", "title")

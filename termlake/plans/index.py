@@ -14,7 +14,7 @@ from ..functions import urls
 from ..operators import counts as C
 from ..operators import weights as Wt
 from ..operators.normalize import normalize_docs
-from ..operators.search import search
+from ..operators.search import search_records
 from ..session import stage
 from ..sources import indexfiles, textfiles
 
@@ -133,7 +133,7 @@ def search_index(
     spark: SparkSession,
     path: str,
     queries: DataFrame,
-    k: int | None = 10,
+    k: int = 10,
     whole: bool = False,
     digits: int | None = None,
 ) -> DataFrame:
@@ -142,4 +142,4 @@ def search_index(
     The records are read once and staged; hits are ``(qid, rank, score, id, url, title)``.
     """
     records = stage(indexfiles.read_index(spark, path, whole), "read-index")
-    return search(indexfiles.record_postings(records), records.select("id", "url", "title"), queries, k, digits=digits)
+    return search_records(records, queries, k, digits=digits)

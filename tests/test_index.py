@@ -127,12 +127,22 @@ def angle(one, two):
     return math.fsum(one[term] * two[term] for term in one.keys() & two.keys())
 
 
-def test_search_matches_plain_python(spark):
+def test_search_matches_plain_python(spark, monkeypatch):
     docs = random_docs(50, seed=9)
     ix = index.index_docs(spark.createDataFrame(docs, DOCS))
     texts = ["wa wbb wbb", "all", "", "nothing known", "Wa's 42 wcc", "all żółw wdd", "wa wa wa"]
     queries = spark.createDataFrame(list(enumerate(texts)), "qid long, query string")
     hits = search.search(ix.postings, ix.docs, queries, k=7).collect()
+    key = lambda h: (h["qid"], h["rank"])
+    for held in (search.HELD_PAIRS, 5):
+        monkeypatch.setattr(search, "HELD_PAIRS", held)
+        found = search.search_records(ix.records, queries, k=7)
+        assert "Exchange hashpartitioning(qid" not in search.best_in_rows(ix.records, search.query_vector(queries), 7, 0.0)._jdf.queryExecution().toString()
+        rows = sorted(found.collect(), key=key)
+        assert [(key(h), h["id"]) for h in rows] == [(key(h), h["id"]) for h in sorted(hits, key=key)]
+        assert [h["score"] for h in rows] == pytest.approx([h["score"] for h in sorted(hits, key=key)])
+    monkeypatch.setattr(search, "ROW_BATCH_TERMS", 1)
+    assert sorted(search.search_records(ix.records, queries, k=7).collect(), key=key) == sorted(hits, key=key)
     plain = plain_index(docs)
     for qid, text in enumerate(texts):
         toks = [t for t in __import__("re").split(r"[^\w']+", text.lower()) if t]
