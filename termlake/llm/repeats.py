@@ -39,6 +39,7 @@ GRAM = 32
 PIECE = 1 << 22  # string starts looked at together; a longer text is taken in pieces
 GROUP = 256  # most different segments of one anchor in a task
 BUCKET_BYTES = 1 << 20
+CELL = 47  # string starts per cell when segments without a partner are left out
 SPLIT = 8  # parts that a run of starts is cut into when dealt again
 
 _BITS = 23
@@ -90,23 +91,41 @@ def anchor_runs(data: np.ndarray, length: int = LENGTH) -> list[tuple[int, int,
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in order of their first ``depth`` symbols, by doubling ranks."""
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    n, width = len(text), 1
-    order = np.argsort(rank, kind="stable")
-    while width < depth:
-        second = np.zeros(n, np.int64)
-        second[: n - width] = rank[width:] + 1
-        keys = rank * (n + 1) + second
-        order = np.argsort(keys, kind="stable")
-        ranked = keys[order]
-        fresh = np.cumsum(np.r_[0, ranked[1:] != ranked[:-1]])
-        rank = np.empty(n, np.int64)
-        rank[order] = fresh
-        if fresh[-1] == n - 1:
-            break
+    """Suffixes in order of their first ``depth`` symbols, by doubling ranks.
+
+    The first ranks are of as many symbols as fit a machine word. From then on
+    only suffixes that still share their rank are sorted again.
+    """
+    n = len(text)
+    bits = max(1, int(text.max() + 1).bit_length())
+    width = max(1, min(depth, 62 // bits))
+    keys = np.zeros(n, np.int64)
+    for k in range(width):
+        keys <<= bits
+        keys[: max(0, n - k)] |= text[k:] + 1
+    order = np.argsort(keys, kind="stable")
+    ranked = keys[order]
+    head = np.r_[True, ranked[1:] != ranked[:-1]]
+    rank = np.empty(n, np.int64)
+    while True:
+        # A rank is the place where its suffixes begin, so ranks of others stay as they are.
+        begin = np.flatnonzero(head)
+        rank[order] = np.repeat(begin, np.diff(np.r_[begin, n]))
+        if width >= depth:
+            return order
+        tied = np.flatnonzero(~(head & np.r_[head[1:], True]))
+        if not len(tied):
+            return order
+        own = order[tied]
+        later = own + width
+        second = np.where(later < n, rank[np.minimum(later, n - 1)] + 1, 0)
+        keys = rank[own] * (n + 1) + second
+        sort = np.argsort(keys, kind="stable")
+        order[tied] = own[sort]
+        keys = keys[sort]
+        # Tied places hold whole groups, so the order of groups is kept.
+        head[tied] = np.r_[True, keys[1:] != keys[:-1]]
         width *= 2
-    return order
 
 
 def open_places(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
@@ -116,6 +135,7 @@ def open_places(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """
     n = len(text)
     bwt = text[order - 1]  # the symbol before suffix 0 is the last one
+    symbols = int(text.max()) + 1
     by_symbol = np.argsort(bwt, kind="stable")
     step = np.empty(n, np.int64)  # where the suffix longer by one symbol stands
     step[by_symbol] = np.arange(n)
@@ -129,7 +149,7 @@ def open_places(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
         member = np.arange(len(owner)) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
         symbol = bwt[member]
         # Extensions by one symbol: members are consecutive there, in the order they have here.
-        sort = np.lexsort((member, symbol, owner)) if len(sizes) > 1 else np.argsort(symbol, kind="stable")
+        sort = np.argsort(owner * symbols + symbol, kind="stable")
         s, o, m = symbol[sort], owner[sort], member[sort]
         head = np.flatnonzero(np.r_[True, (s[1:] != s[:-1]) | (o[1:] != o[:-1])])
         tail = np.r_[head[1:], len(s)] - 1
@@ -201,6 +221,38 @@ def _bucket(part: pd.DataFrame) -> pd.DataFrame:
     return out[out["runs"].map(len) > 0]
 
 
+def cells_of(lead: int, starts: int, width: int) -> list[tuple[int, int]]:
+    """Cells of ``width`` string starts that a segment touches, with the start of each in the segment.
+
+    Cells are counted from the anchor, so equal strings of one anchor fall into
+    equal cells. All strings of a cell have ``[begin + width - 1, begin + LENGTH)``
+    of the segment in common, whether the segment has all of them or not.
+    """
+    return [(cell, cell * width + lead) for cell in range(-lead // width, (starts - 1 - lead) // width + 1)]
+
+
+def _with_partner(segments: DataFrame) -> DataFrame:
+    """Segments that have the common bytes of some cell in common with another one of their anchor.
+
+    Two segments with an equal string must; most segments that only share their
+    anchor don't, and need no comparison.
+    """
+
+    def make():
+        def run(batch: pa.RecordBatch):
+            for anchor, seg, lead, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "seg", "lead", "bytes"))):
+                for cell, begin in cells_of(lead, len(data) - LENGTH + 1, CELL):
+                    yield anchor, seg, digest(b"%d,%d:" % (anchor, cell) + data[begin + CELL - 1 : begin + LENGTH])
+
+        return run
+
+    cores = stage(map_rows(segments.select("anchor", "seg", "lead", "bytes"), "anchor bigint, seg bigint, core bigint", make), "repeats-cores")
+    twice = cores.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
+    twice = broadcast_if_small(stage(twice, "repeats-cores-twice"))
+    kept = cores.join(twice, "core", "left_semi").select("anchor", "seg").distinct()
+    return segments.join(broadcast_if_small(stage(kept, "repeats-partnered")), ["anchor", "seg"], "left_semi")
+
+
 def _whole(df: DataFrame) -> DataFrame:
     run = F.struct(F.lit(0).alias("first"), (F.col("size") - LENGTH).cast("int").alias("last"))
     return df.select("anchor", "seg", F.array(run).alias("runs"))
@@ -227,12 +279,9 @@ def _deal(segments: DataFrame, level: int) -> DataFrame:
     def make():
         def run(batch: pa.RecordBatch):
             for anchor, seg, n, lead, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "seg", "n", "lead", "bytes"))):
-                # Cells of starts are counted from the anchor, so equal strings fall into equal cells.
                 starts = len(data) - LENGTH + 1
-                for cell in range(-lead // width, (starts - 1 - lead) // width + 1):
-                    begin = cell * width + lead
+                for cell, begin in cells_of(lead, starts, width):
                     first, last = max(0, begin), min(begin + width, starts) - 1
-                    # What all strings of the cell have in common, whether this segment has them all or not.
                     core = digest(b"%d,%d,%d:" % (level, anchor, cell) + data[begin + width - 1 : begin + LENGTH])
                     part = data[first : last + LENGTH]
                     yield anchor, seg, first, core, segment_digest(part, lead - first), n, len(part), lead - first, part
@@ -297,7 +346,10 @@ def covered(docs: DataFrame) -> DataFrame:
     cut = map_rows(sources, "anchor bigint, seg bigint, n bigint, size int, lead int, bytes binary", make)
     # Equal texts yield their segments once each; one of them is enough.
     segments = cut.groupBy("anchor", "seg").agg(*[F.any_value(c).alias(c) for c in ("n", "size", "lead", "bytes")])
-    runs = alone.unionByName(_deal(stage(segments, "repeats-segments"), 0))
+    segments = stage(segments, "repeats-segments")
+    compared = stage(_with_partner(segments), "repeats-compared")
+    counted = segments.where("n > 1").join(broadcast_if_small(compared.select("anchor", "seg")), ["anchor", "seg"], "left_anti")
+    runs = alone.unionByName(_whole(counted)).unionByName(_deal(compared, 0))
 
     # Runs of starts become spans of bytes; a text's spans are at most as many as its runs.
     spans = F.transform("runs", lambda r: F.struct((F.col("first") + r["first"]).alias("begin"), (F.col("first") + r["last"] + LENGTH).alias("end")))
