@@ -22,7 +22,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, stage
+from ..session import broadcast_if_small, scratch_path, stage
 from .batches import map_rows
 
 # A task starts another archive when one holds this much before compression.
@@ -171,6 +171,8 @@ def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         .select(F.col("page_id").alias("_id"), F.col("payload_sha1").alias("_sha1"), "refers_to", F.lit(True).alias("revisit"))
         .distinct()
     )
+    # Measured small, the revisits go to the pages; else pages are shuffled by id and digest.
+    revisits = broadcast_if_small(stage(revisits, "warc-revisits"))
     same = pages["page_id"].eqNullSafe(revisits["_id"]) & (pages["payload_sha1"] == revisits["_sha1"])
     return pages.join(revisits, same, "left").drop("_id", "_sha1").withColumn("revisit", F.coalesce("revisit", F.lit(False)))
 
