@@ -30,7 +30,7 @@ ANCHORS = (
 ).split()
 
 EDGES = 255  # quantiles of the ids
-BLOCK_ROWS = 4_000
+BLOCK_ROWS = 500
 
 
 def signatures(text: Column) -> Column:
@@ -62,25 +62,31 @@ def signatures(text: Column) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(found)
 
 
+def hashes(text: Column) -> Column:
+    """Sorted distinct hashes of the signatures, ``HEX`` digits each."""
+    found = F.transform(signatures(text), lambda s: F.substring(F.md5(s.cast("binary")), 1, HEX))
+    return F.array_sort(F.array_distinct(found))
+
+
 def fingerprint(text: Column) -> Column:
-    """Sorted distinct hashes of the signatures, ``HEX`` digits each, run together."""
-    hashes = F.transform(signatures(text), lambda s: F.substring(F.md5(s.cast("binary")), 1, HEX))
-    return F.array_join(F.array_sort(F.array_distinct(hashes)), "")
+    """The hashes of a text run together."""
+    return F.array_join(hashes(text), "")
 
 
 def hashes_of(print_: Column) -> Column:
     """The hashes of a fingerprint, in order."""
-    n = (F.length(print_) / HEX).cast("int")
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(print_, (i - 1) * HEX + 1, HEX))).otherwise(
-        F.array().cast("array<string>")
-    )
+    return F.regexp_extract_all(print_, F.lit(f".{{{HEX}}}"), F.lit(0))
+
+
+def set_likeness(a: Column, b: Column) -> Column:
+    """Jaccard of two arrays of distinct hashes; 1 for two empty ones."""
+    n = F.size(a) + F.size(b)
+    return F.when(n == 0, F.lit(1.0)).otherwise(bind(F.size(F.array_intersect(a, b)), lambda shared: shared / (n - shared)))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard of two fingerprints; 1 for equal ones, two empty ones too."""
-    n = (F.length(a) + F.length(b)) / HEX
-    shared = F.size(F.array_intersect(hashes_of(a), hashes_of(b)))
-    return F.when(a == b, F.lit(1.0)).when((a == "") | (b == ""), F.lit(0.0)).otherwise(shared / (n - shared))
+    """Jaccard of two fingerprints."""
+    return set_likeness(hashes_of(a), hashes_of(b))
 
 
 def with_next(docs: DataFrame, columns: list[str], made: dict[str, Column]) -> DataFrame:
@@ -141,16 +147,17 @@ def fingerprint_table(docs: DataFrame) -> DataFrame:
     """
     ready = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     ready = ready.withColumn("_hash", F.xxhash64("text"))
-    paired = with_next(ready, ["text", "fingerprint"], {"fingerprint": fingerprint(F.col("text"))})
+    paired = with_next(ready, ["text", "_own"], {"_own": hashes(F.col("text"))})
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("_next_text"), F.lit(1), third))
     built = paired.withColumn("n_chars", n.cast("bigint")).withColumn("edited", edited)
-    built = built.withColumn("edited_fingerprint", fingerprint(F.col("edited")))
+    built = built.withColumn("_edited", hashes(F.col("edited")))
     return built.select(
-        "doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("_next_fingerprint")).alias("near_next"),
+        "doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+        F.array_join("_own", "").alias("fingerprint"), F.array_join("_edited", "").alias("edited_fingerprint"),
+        set_likeness(F.col("_own"), F.col("_edited")).alias("near_edited"),
+        set_likeness(F.col("_own"), F.col("_next__own")).alias("near_next"),
     )
 
 
