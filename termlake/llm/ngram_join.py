@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import broadcast_if_small, stage
 from .batches import map_rows, texts_of
 from .components import components
 
@@ -143,24 +143,31 @@ def linked_pairs(sets_a: list[np.ndarray], sets_b: list[np.ndarray], same: bool,
     return np.stack([i[good], j[good]], axis=1)
 
 
+def set_key(s: np.ndarray, text: str) -> bytes:
+    """Digest that names a shingle set; texts without words are named by the text itself."""
+    return hashlib.md5(s.tobytes() if len(s) else b"\0" + text.encode("utf-8", "surrogatepass")).digest()
+
+
+def _version():
+    """Tells the texts of an id apart; null counts as empty."""
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("version")
+
+
 def prepared(docs: DataFrame) -> DataFrame:
-    """``(doc_id, key, n, bands)``: a digest of the shingle set, its size, and band hashes.
+    """``(doc_id, version, key, n, bands)``: a hash of the text, a digest of the shingle set, its size, and band hashes.
 
-    Texts without words are classed by the text itself and have no bands.
+    Texts without words have no bands.
     """
 
     def make():
         def run(batch: pa.RecordBatch):
-            for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+            for doc, version, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2))):
                 s = shingles(text)
-                if len(s):
-                    yield doc, hashlib.md5(s.tobytes()).digest(), len(s), bands(min_hashes(s)).tolist()
-                else:
-                    yield doc, hashlib.md5(b"\0" + text.encode("utf-8", "surrogatepass")).digest(), 0, []
+                yield doc, version, set_key(s, text), len(s), bands(min_hashes(s)).tolist() if len(s) else []
 
         return run
 
-    return map_rows(docs.select("doc_id", "text"), "doc_id bigint, key binary, n int, bands array<bigint>", make)
+    return map_rows(docs.select("doc_id", _version(), "text"), "doc_id bigint, version bigint, key binary, n int, bands array<bigint>", make)
 
 
 _PAIR = "rep bigint, links bigint, other bigint"
@@ -202,43 +209,46 @@ def _compare(threshold: float, tolerance: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """One row per row of ``docs``: ``(doc_id, copy_id, class_id, n_links)``.
+def _place():
+    """Order of rows; those without an id come last."""
+    return F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("doc_id"), F.col("version").alias("version"))
 
-    ``copy_id`` is the smallest doc_id with the same shingle set, ``class_id`` the
-    smallest of all documents connected by links, ``n_links`` the number of
-    other rows whose set has a Jaccard of at least ``threshold``, copies included.
-    Documents without words link only to equal texts. Null texts count as empty;
-    rows without a doc_id are left out, as they have no name to be linked by;
-    repeated rows are copies of each other.
+
+def linked(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """One row per row of ``docs``: ``(doc_id, version, key, n, class, copy_id, class_id, n_links)``.
+
+    ``version`` is a hash of the text, ``key`` and ``n`` digest and size of its
+    shingle set, ``class`` a number of the class that holds in this table alone.
     """
-    rows = stage(prepared(docs.where(F.col("doc_id").isNotNull())), "ngram-docs")
-    ends = rows.groupBy("doc_id").agg(F.min("key").alias("least"), F.max("key").alias("most"))
-    if not ends.where("least <> most").isEmpty():
-        # Ids with several texts: the text with the smallest digest stands for the id.
-        rows = rows.join(ends.select("doc_id", "least"), "doc_id").where("key = least").drop("least")
-        docs = docs.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = rows.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
-    sets = stage(sets, "ngram-sets")
+    rows = stage(prepared(docs), "ngram-docs")
+    sets = rows.groupBy("key").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("size"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
+    # A set's number is written once with it, so it is no hash that two sets could share.
+    sets = stage(sets.withColumn("rep", F.monotonically_increasing_id()), "ngram-sets")
     hashed = sets.select("rep", F.explode("bands").alias("band"))
     shared = hashed.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("band", "low")
     edges = hashed.join(shared, "band").where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct()
     clusters = stage(components(edges), "ngram-clusters")
 
-    chosen = sets.select("rep", "size", "n").join(clusters, sets["rep"] == clusters["id"]).drop("id")
+    chosen = sets.select("key", "first", "rep", "size", "n").join(clusters, sets["rep"] == clusters["id"]).drop("id")
     blocks = clusters.join(sets.select("rep", "n"), clusters["id"] == F.col("rep")).groupBy("comp").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     )
     chosen = stage(chosen.join(blocks, "comp").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "ngram-chosen")
 
     def make():
-        return lambda batch: [
-            (rep, shingles(text).tobytes()) for rep, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)))
-        ]
+        def run(batch: pa.RecordBatch):
+            for text in texts_of(batch.column(0)):
+                s = shingles(text)
+                yield set_key(s, text), s.tobytes()
+
+        return run
 
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(chosen.select("rep"), "rep", "left_semi")
-    found = map_rows(texts, "rep bigint, shingles binary", make)
-    ready = stage(chosen.join(found, "rep").dropDuplicates(["rep"]), "ngram-shingles")
+    # One text of each set is read again; the key found with it tells whose set it is.
+    wanted = chosen.select(F.col("first.doc_id").alias("_id"), F.col("first.version").alias("_version"))
+    texts = docs.select("doc_id", _version(), "text")
+    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["_id"]) & (texts["version"] == wanted["_version"]), "left_semi")
+    found = map_rows(texts.select("text"), "key binary, shingles binary", make)
+    ready = stage(chosen.drop("first").join(found, "key").drop("key").dropDuplicates(["rep"]), "ngram-shingles")
     partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("p")
     met = ready.select("comp", "rep", "size", "block", "shingles", partner)
     met = met.withColumns({"i": F.least("block", "p"), "j": F.greatest("block", "p")}).drop("p")
@@ -246,19 +256,62 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
 
     links = counted.groupBy("rep").agg(F.sum("links").alias("links"))
     classes = components(counted.select(F.col("rep").alias("a"), F.col("other").alias("b")))
-    named = sets.select("key", "rep", "size").join(links, "rep", "left").join(classes.withColumnRenamed("id", "rep"), "rep", "left")
-    named = named.select(
-        "key", F.col("rep").alias("copy_id"), F.coalesce("comp", "rep").alias("class_id"), (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
-    )
-    return rows.select("doc_id", "key").join(named, "key").drop("key")
+    named = sets.select("key", "rep", "size", F.col("first.doc_id").alias("copy_id"))
+    named = named.join(links, "rep", "left").join(classes.withColumnRenamed("id", "rep"), "rep", "left")
+    named = stage(named.select("key", "copy_id", F.coalesce("comp", "rep").alias("class"), (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.col("comp").isNotNull().alias("joined")), "ngram-named")
+    # Only classes of several sets need a look at the others for their smallest id.
+    least = named.where("joined").groupBy("class").agg(F.min("copy_id").alias("least"))
+    named = named.join(least, "class", "left").withColumn("class_id", F.when(F.col("joined"), F.col("least")).otherwise(F.col("copy_id")))
+    return rows.select("doc_id", "version", "key", "n").join(named.drop("joined", "least"), "key").select(
+        "doc_id", "version", "key", "n", "class", "copy_id", "class_id", "n_links"
+    )
+
+
+def near_duplicate_rows(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """One row per row of ``docs``: ``(doc_id, copy_id, class_id, n_links)``.
+
+    ``copy_id`` is the smallest doc_id with the same shingle set, ``class_id`` the
+    smallest of all rows connected by links, ``n_links`` the number of other rows
+    whose set has a Jaccard of at least ``threshold``, copies included.
+    Documents without words link only to equal texts. Null texts count as empty;
+    repeated rows are copies of each other. Each text of an id is linked by
+    itself, and so are rows without an id; where no row of a set or class has an
+    id, its ``copy_id`` or ``class_id`` is null.
+    """
+    return linked(docs, threshold, tolerance).select("doc_id", "copy_id", "class_id", "n_links")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """A view of ``near_duplicate_rows`` by id: rows with an id, and of an id with several shingle sets those of one.
+
+    That is the set with the smallest digest; its links and classes count all rows with an id.
+    """
+    rows = stage(linked(docs.where(F.col("doc_id").isNotNull()), threshold, tolerance), "ngram-linked")
+    ends = rows.groupBy("doc_id").agg(F.min("key").alias("least"), F.max("key").alias("most"))
+    if not ends.where("least <> most").isEmpty():
+        rows = rows.join(ends.select("doc_id", "least"), "doc_id").where("key = least")
+    return rows.select("doc_id", "copy_id", "class_id", "n_links")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Documents without all but one of each near-duplicate class, columns as they were.
+    """One row of each near-duplicate class, columns as they were.
 
-    The smallest doc_id stays, with one of its rows if it has several; rows
-    without a doc_id all stay.
+    The smallest doc_id stays, any other before a row without an id. Rows are
+    named by id and text, so other texts of an id stay if their class has no
+    smaller one. Of rows equal in both one stays, the first by its JSON form.
+    Rows with neither id nor words all stay.
     """
-    gone = near_duplicates(docs).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    rest = docs.where(F.col("doc_id").isNotNull()).join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    return rest.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    rows = stage(linked(docs), "ngram-linked")
+    nothing = F.col("doc_id").isNull() & (F.col("n") == 0)
+    first = rows.where(~nothing).groupBy("class").agg(F.min(_place()).alias("f")).select(F.col("f.doc_id").alias("_id"), F.col("f.version").alias("_version"))
+    several = rows.where(~nothing).groupBy(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).agg((F.count(F.lit(1)) > 1).alias("_several"))
+    first = first.join(several, first["_id"].eqNullSafe(several["_id"]) & (first["_version"] == several["_version"])).select(first["_id"], first["_version"], "_several")
+    bare = rows.where(nothing).select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), F.lit(False).alias("_several")).distinct()
+    kept = stage(first.unionByName(bare), "ngram-kept")
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), "doc_id", "text", _version())
+    whole = whole.join(broadcast_if_small(kept), whole["doc_id"].eqNullSafe(kept["_id"]) & (whole["version"] == kept["_version"]))
+    rest = whole.where(~F.col("_several")).select("_row")
+    if not kept.where("_several").isEmpty():
+        again = whole.where("_several").groupBy("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        rest = rest.unionByName(again.agg(F.min_by("_row", F.to_json("_row")).alias("_row")).select("_row"))
+    return rest.select("_row.*")

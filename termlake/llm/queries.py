@@ -55,7 +55,7 @@ def op4_quality_rules(spark, sf):
 
 @query
 def op5_ngram_join(spark, sf):
-    return ngram_join.near_duplicates(table(spark, sf, "documents"))
+    return ngram_join.near_duplicate_rows(table(spark, sf, "documents"))
 
 
 @query
