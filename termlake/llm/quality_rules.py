@@ -124,17 +124,25 @@ def chi2_quantile(tail: float) -> float:
 
 
 CUT = chi2_quantile(REJECT)
-STATE = "grp string, start int, centre array<double>, inverse array<double>, logdet double, scale double"
+STATE = "grp string, start int, centre array<double>, inverse array<double>, logdet double, cov array<double>"
 
 
-def _state(grp: str, start: int, centre: np.ndarray, cov: np.ndarray, scale: float) -> tuple:
-    cov = cov + np.diag(FLOORS**2)
-    inverse = np.linalg.inv(cov)
-    return grp, start, centre.tolist(), inverse.ravel().tolist(), float(np.linalg.slogdet(cov)[1]), scale
+def _spreads(cov: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Variances in units of the floors along the principal axes, and the axes."""
+    values, axes = np.linalg.eigh(cov / np.outer(FLOORS, FLOORS))
+    return np.maximum(values, 0.0), axes
+
+
+def _state(grp: str, start: int, centre: np.ndarray, cov: np.ndarray) -> tuple:
+    """``cov`` as estimated; distances go by its spreads, each at least the floor."""
+    values, axes = _spreads(cov)
+    values = np.maximum(values, 1.0)
+    inverse = (axes / values) @ axes.T / np.outer(FLOORS, FLOORS)
+    return grp, start, list(centre), inverse.ravel().tolist(), float(np.log(values).sum()), cov.ravel().tolist()
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["grp", "start", "centre", "inverse", "logdet", "scale"])
+    return pd.DataFrame(rows, columns=["grp", "start", "centre", "inverse", "logdet", "cov"])
 
 
 def _first_states(key: tuple, hist: pd.DataFrame) -> pd.DataFrame:
@@ -149,7 +157,7 @@ def _first_states(key: tuple, hist: pd.DataFrame) -> pd.DataFrame:
 
         centre[i] = median(values)
         spread[i] = 1.4826 * median(np.abs(values - centre[i]))
-    return _frame([_state(key[0], 0, centre, np.diag(spread**2), 1.0), _state(key[0], 1, centre, np.diag(FLOORS**2) * 9, 1.0)])
+    return _frame([_state(key[0], 0, centre, np.diag(spread**2)), _state(key[0], 1, centre, np.diag(FLOORS**2) * 9)])
 
 
 def _moments(part: pd.DataFrame, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,30 +182,38 @@ def _step(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
     before = np.cumsum(n) - n
     weight = np.clip((H * n.sum() - before) / n, 0, 1)
     centre, cov = _moments(part, weight)
-    return _frame([_state(key[0], key[1], centre, cov, 1.0)])
+    return _frame([_state(key[0], key[1], centre, cov)])
 
 
-def _median_scale(part: pd.DataFrame) -> float:
-    """Factor that brings the median squared distance to that of a chi-square."""
+def _median_scale(part: pd.DataFrame, cov: np.ndarray) -> float:
+    """Factor, above or below 1, that brings the median squared distance to what ``cov`` makes it.
+
+    An axis at its floor adds less than a chi-square to the distance, so the
+    median is that of a weighted sum, by the approximation of Wilson and Hilferty.
+    """
     n = part["n"].to_numpy(float)
     at = np.searchsorted(np.cumsum(n), n.sum() / 2)
-    return float(_edge(part["bin"].to_numpy()[at])) / chi2_quantile(0.5)
+    values, _ = _spreads(cov)
+    parts = np.minimum(values, 1.0)
+    if parts.sum() < 1e-3:
+        return 1.0
+    degrees = parts.sum() ** 2 / (parts**2).sum()
+    return float(_edge(part["bin"].to_numpy()[at])) / (parts.sum() * (1 - 2 / (9 * degrees)) ** 3)
 
 
 def _reweight(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-    part = part.sort_values("bin")
-    scale = max(1.0, _median_scale(part))
-    near = (_edge(part["bin"].to_numpy()) <= scale * chi2_quantile(1 - REWEIGHT)).astype(float)
+    """Moments of the rows inside the ``REWEIGHT`` quantile of a rescaled estimate."""
+    near = (_edge(part["bin"].to_numpy()) <= chi2_quantile(1 - REWEIGHT)).astype(float)
     if not (part["n"].to_numpy() * near).sum():
         near[:] = 1.0
     centre, cov = _moments(part, near)
-    return _frame([_state(key[0], key[1], centre, cov, 1.0)])
+    return _frame([_state(key[0], key[1], centre, cov)])
 
 
 def _rescale(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
     part = part.sort_values("bin")
-    row = part.iloc[0]
-    return _frame([(key[0], key[1], list(row["centre"]), list(row["inverse"]), float(row["logdet"]), max(1.0, _median_scale(part)))])
+    cov = np.array(list(part["cov"].iloc[0])).reshape(P, P)
+    return _frame([_state(key[0], key[1], np.array(list(part["centre"].iloc[0])), cov * _median_scale(part, cov))])
 
 
 def distance(z: list[Column], centre: Column, inverse: Column) -> Column:
@@ -257,20 +273,24 @@ def fit(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
         state = stage(binned(state).groupBy("grp", "start").applyInPandas(_step, STATE), "quality-state")
     best = state.groupBy("grp").agg(F.min_by(F.struct(*state.columns[1:]), F.struct("logdet", "start")).alias("s")).select("grp", "s.*")
     best = stage(best, "quality-state")
-    state = stage(binned(best).groupBy("grp", "start").applyInPandas(_reweight, STATE), "quality-state")
-    bins = binned(state).join(broadcast_if_small(state), ["grp", "start"])
-    return sources, stage(bins.groupBy("grp", "start").applyInPandas(_rescale, STATE), "quality-state")
+
+    def rescaled(state: DataFrame) -> DataFrame:
+        bins = binned(state).join(broadcast_if_small(state), ["grp", "start"])
+        return stage(bins.groupBy("grp", "start").applyInPandas(_rescale, STATE), "quality-state")
+
+    state = stage(binned(rescaled(best)).groupBy("grp", "start").applyInPandas(_reweight, STATE), "quality-state")
+    return sources, rescaled(state)
 
 
 def judge(counted: DataFrame, sources: DataFrame, state: DataFrame) -> DataFrame:
     """``counted`` with ``_base_failed``, ``_distance`` (null without an estimate) and ``_kept``."""
-    state = state.select("grp", "centre", "inverse", "scale")
+    state = state.select("grp", "centre", "inverse")
     c = F.col("_counts")
     joined = attach_group(counted, sources).join(broadcast_if_small(state), "grp", "left")
-    d = distance(vector(c), F.col("centre"), F.col("inverse")) / F.col("scale")
+    d = distance(vector(c), F.col("centre"), F.col("inverse"))
     joined = joined.withColumn("_base_failed", base_failed(c)).withColumn("_distance", d)
     kept = ~F.col("_base_failed") & F.coalesce(F.col("_distance") <= CUT, F.lit(True))
-    return joined.withColumn("_kept", kept).drop("grp", "centre", "inverse", "scale")
+    return joined.withColumn("_kept", kept).drop("grp", "centre", "inverse")
 
 
 def quality_table(docs: DataFrame) -> DataFrame:
