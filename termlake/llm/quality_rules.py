@@ -31,7 +31,8 @@ UNIT = 1024  # statistics are kept as integers of 1/UNIT
 H = 0.75
 STEPS = 4
 BINS = 16  # distance bins per doubling
-MIN_ROWS = 200  # smaller (lang, source) groups of a language are pooled; below it no estimate is made
+MIN_ROWS = 200  # smaller (lang, source) groups of a language are pooled
+LEAST_ROWS = 5 * P  # smaller pools of a language are pooled over all languages; below it no estimate is made
 REWEIGHT = 0.975
 REJECT = 1e-6  # chi-square tail beyond which a vector is an outlier
 
@@ -231,15 +232,21 @@ def groups(counted: DataFrame) -> DataFrame:
     """``(lang, source, grp)``: the group whose estimate a source's rows use.
 
     A null language or source is a value of its own. Sources under ``MIN_ROWS``
-    rows are pooled within their language; a pool below that has a null group.
+    rows are pooled within their language, pools under ``LEAST_ROWS`` rows over
+    all languages. If that last pool is below ``LEAST_ROWS`` too, it has a null group.
     """
     sizes = counted.where(F.col("_counts.n_words") > 0).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    sizes = stage(sizes, "quality-sizes")
     small = F.col("n") < MIN_ROWS
-    own = F.to_json(F.struct("lang", "source"))
-    pools = sizes.where(small).groupBy("lang").agg((F.sum("n") >= MIN_ROWS).alias("enough")).withColumnRenamed("lang", "_lang")
+    pools = sizes.where(small).groupBy("lang").agg(F.sum("n").alias("pool")).withColumnRenamed("lang", "_lang")
     named = sizes.join(pools, sizes["lang"].eqNullSafe(pools["_lang"]), "left")
-    pooled = F.when(F.col("enough"), F.to_json(F.struct("lang")))
-    return named.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), F.when(small, pooled).otherwise(own).alias("grp"))
+    alone = small & (F.col("pool") < LEAST_ROWS)
+    last = named.where(alone).agg(F.sum("n")).first()[0] or 0
+    own = F.to_json(F.struct("lang", "source"))
+    pooled = F.to_json(F.struct("lang", F.lit(True).alias("pool")))
+    rest = F.lit("rest") if last >= LEAST_ROWS else F.lit(None).cast("string")
+    grp = F.when(alone, rest).when(small, pooled).otherwise(own)
+    return named.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), grp.alias("grp"))
 
 
 def attach_group(df: DataFrame, sources: DataFrame) -> DataFrame:

@@ -37,3 +37,15 @@ def test_one_statistic_decides_near_its_floor(scratch):
     got = verdicts(scratch, rows)
     assert np.mean([got[i] for i in range(2000)]) > 0.998
     assert not any(got[10_000 + k] for k in range(len(planted)))
+
+
+def test_rare_languages_are_judged(scratch):
+    rnd = random.Random(9)
+    junk = {"n_symbols": 2500}
+    rows = [counted(i, rnd, lang="en") for i in range(300)]
+    rows += [counted(1000 + i, rnd, lang="fi", source="abc"[i % 3]) for i in range(60)]
+    rows += [counted(2000 + i, rnd, lang=[None, "is", "mt"][i % 3], source="a") for i in range(60)]
+    rows += [counted(3000 + i, rnd, lang=lang, **junk) for i, lang in enumerate(("en", "fi", None, "is", "mt"))]
+    got = verdicts(scratch, rows)
+    assert not any(got[3000 + i] for i in range(5))
+    assert np.mean([kept for i, kept in got.items() if i < 3000]) > 0.98
