@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_chunks, mixing, ngram_join, quality_net, quality_rules, repeats, spotsigs, toxicity, warc
+from . import bpe, line_chunks, mixing, ngram_join, quality_net, quality_rules, repeats, spotsigs, toxicity, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -94,6 +94,11 @@ def op10_spotsigs(spark, sf):
     return prints.withColumns({c: F.round(c, 9) for c in ("near_edited", "near_next")})
 
 
+@query
+def op12_whitening(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings"), k=whitening.COMPONENTS)
+
+
 # Base32 by hand: hex digits to bits, bits in fives to letters.
 ORACLE["op8_warc"] = """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
