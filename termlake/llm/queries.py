@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_chunks, mixing, ngram_join, quality_net, quality_rules, repeats, spotsigs, toxicity, warc, whitening
+from . import bpe, line_chunks, mixing, ngram_join, quality_net, quality_rules, repeats, spotsigs, toxicity, warc, whitening, lemp
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -94,6 +94,11 @@ def op10_spotsigs(spark, sf):
     return prints.withColumns({c: F.round(c, 9) for c in ("near_edited", "near_next")})
 
 
+@query
+def op11_lemp(spark, sf):
+    return lemp.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=lemp.K)
+
+
 @query
 def op12_whitening(spark, sf):
     return whitening.whiten(table(spark, sf, "embeddings"), k=whitening.COMPONENTS)
@@ -229,3 +234,24 @@ SELECT x.doc_id, x.n AS n_chars, sha256(x.text) AS edited_sha256,
        array_to_string(own.hashes, '') AS fingerprint, array_to_string(changed.hashes, '') AS edited_fingerprint,
        {_likeness_sql("own.hashes", "changed.hashes")} AS near_edited, {_likeness_sql("own.hashes", "after.hashes")} AS near_next
 FROM x JOIN own USING (doc_id) JOIN changed USING (doc_id) JOIN own AS after ON after.doc_id = x.next_id"""
+
+
+ORACLE["op11_lemp"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{lemp.UPPER}', '{lemp.LOWER}'), '{lemp.TERM}') AS ts
+  FROM documents),
+st AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS big_n, sum(len(ts)) AS big_l FROM d),
+p AS (SELECT rid, doc_id, CAST(len(ts) AS BIGINT) AS n, unnest(ts) AS term FROM d),
+tf AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM p GROUP BY ALL),
+df AS (SELECT term, count(DISTINCT rid) AS df FROM p GROUP BY term),
+it AS (SELECT DISTINCT item_id, text FROM benchmark),
+q AS (SELECT item_id, text, unnest(regexp_extract_all(translate(coalesce(text, ''), '{lemp.UPPER}', '{lemp.LOWER}'), '{lemp.TERM}')) AS term FROM it),
+qc AS (SELECT item_id, text, term, count(*) AS c FROM q GROUP BY ALL),
+qw AS (SELECT item_id, text, term, c * CAST(floor(1000 * ln((2.0 * big_n + 2) / (2.0 * df + 1))) AS BIGINT) AS qv FROM qc JOIN df USING (term), st),
+s AS (
+  SELECT item_id, text, rid, doc_id,
+         sum(qv * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l)))) AS score
+  FROM qw JOIN tf USING (term), st GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, CAST(doc_id AS BIGINT) AS doc_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= {lemp.K}"""
