@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import heapq
 import math
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,7 +37,9 @@ TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 K = 20
 # Longest vectors scored first to give every task a starting threshold.
-SEED_DOCS = 4096
+SEED_DOCS = 256
+# Rows handed to Python at a time; texts differ in length by a factor of 10,000.
+SLICE = 256
 # Queries handed to the tasks at a time (their terms and weights go with the plan).
 QUERY_BLOCK = 1024
 # Relative slack on floating bounds, so that no exact integer score is pruned.
@@ -47,27 +51,45 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(TERM), 0)
 
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(doc_id, n, terms, cnts)`` of each text, terms sorted; C-level regex and counting in slices of rows."""
+    pattern = re.compile(TERM)
+    lower = str.maketrans(UPPER, LOWER)
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            part = batch.slice(start, SLICE)
+            ns, terms_, cnts = [], [], []
+            for t in part.column("t").to_pylist():
+                counted = sorted(Counter(pattern.findall((t or "").translate(lower))).items())
+                ns.append(sum(c for _, c in counted))
+                terms_.append([w for w, _ in counted])
+                cnts.append([c for _, c in counted])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(ns, pa.int64()), pa.array(terms_, pa.list_(pa.string())), pa.array(cnts, pa.list_(pa.int64()))],
+                names=["doc_id", "n", "terms", "cnts"],
+            )
+
+
 def impact_index(documents: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, int, int]:
     """``(index, N, L)``: index rows ``(doc_id, norm, terms, imps)`` of documents with terms.
 
     Every row of ``documents`` is a document, repeated rows and null ids
-    included. The index is written once to the shared folder.
+    included. Terms are counted in the document's row; the index is written
+    once to the shared folder.
     """
-    counted = documents.select(F.col(key).alias("doc_id"), count_tokens(terms(F.col(text))).alias("c"))
-    counted = counted.select("doc_id", F.aggregate("c", F.lit(0).cast("bigint"), lambda s, x: s + x["cnt"]).alias("n"), "c")
+    texts = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("t"))
+    counted = texts.mapInArrow(_count, "doc_id bigint, n bigint, terms array<string>, cnts array<bigint>")
     counted = stage(counted.where(F.col("n") > 0), "lemp-counts")
     got = counted.agg(F.count(F.lit(1)).alias("N"), F.sum("n").alias("L")).first()
     big_n, big_l = int(got["N"]), int(got["L"] or 0)
     if big_n == 0:
-        return counted.select("doc_id", F.lit(0.0).alias("norm"), F.array().cast("array<string>").alias("terms"), F.array().cast("array<bigint>").alias("imps")), 0, 0
+        return counted.select("doc_id", F.lit(0.0).alias("norm"), "terms", F.col("cnts").alias("imps")), 0, 0
     # Integer division of longs, as the contract has it (all terms are positive).
     counted = counted.withColumn("m", F.expr(f"75 + (25 * n * {big_n}L) div {big_l}L"))
-    imps = F.expr("transform(c, x -> (1000000000L * x.cnt) div (1000L * x.cnt + 12L * m))")
-    index = counted.select(
-        "doc_id",
-        F.transform("c", lambda x: x["term"]).alias("terms"),
-        imps.alias("imps"),
-    ).withColumn("norm", F.sqrt(F.aggregate("imps", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))))
+    imps = F.expr("transform(cnts, c -> (1000000000L * c) div (1000L * c + 12L * m))")
+    index = counted.select("doc_id", "terms", imps.alias("imps")).withColumn(
+        "norm", F.sqrt(F.aggregate("imps", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double")))
+    )
     return stage(index.select("doc_id", "norm", "terms", "imps"), "lemp-index"), big_n, big_l
 
 
@@ -114,10 +136,10 @@ def _scorer(block: list[dict], thresholds: dict[int, int], k: int):
             h = heaps[qi]
             return max(seed[qi], h[0][0]) if len(h) >= k else seed[qi]
 
-        for batch in batches:
+        for part in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             if not active:
                 break
-            cols = batch.to_pydict()
+            cols = part.to_pydict()
             if not cols["norm"]:
                 continue
             # Bucket bound: rows come longest first, so a query cut at a batch's
@@ -199,7 +221,8 @@ def search(documents: DataFrame, items: DataFrame, k: int = K, doc_key: str = "d
         chosen = queries.where(F.col("qid").isin(ids[start : start + QUERY_BLOCK]))
         block = [r.asDict() for r in chosen.collect()]
         schema = "qid bigint, doc_id bigint, score bigint"
-        seed_rows = index.orderBy(F.desc("norm"), F.xxhash64("doc_id", "terms")).limit(SEED_DOCS).coalesce(1).sortWithinPartitions(F.desc("norm"))
+        # The longest vectors: each task hands on its own first SEED_DOCS, then one task keeps SEED_DOCS.
+        seed_rows = buckets.orderBy(F.desc("norm"), F.xxhash64("doc_id", "terms")).limit(SEED_DOCS).coalesce(1).sortWithinPartitions(F.desc("norm"))
         seeded = _ranked(seed_rows.mapInArrow(_scorer(block, {}, k), schema), k).where(F.col("rank") == k).collect()
         thresholds = {r["qid"]: r["score"] for r in seeded}
         found = buckets.mapInArrow(_scorer(block, thresholds, k), schema)
