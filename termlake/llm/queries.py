@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_chunks, mixing, ngram_join, quality_net, quality_rules, repeats, spotsigs, toxicity, warc, whitening, lemp
+from . import bpe, line_chunks, mixing, ngram_join, quality_net, quality_rules, repeats, spotsigs, toxicity, warc, whitening, lemp, superminhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,6 +104,11 @@ def op12_whitening(spark, sf):
     return whitening.whiten(table(spark, sf, "embeddings"), k=whitening.COMPONENTS)
 
 
+@query
+def op13_superminhash(spark, sf):
+    return superminhash.near_duplicates(table(spark, sf, "documents"))
+
+
 # Base32 by hand: hex digits to bits, bits in fives to letters.
 ORACLE["op8_warc"] = """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
