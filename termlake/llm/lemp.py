@@ -20,11 +20,11 @@ from __future__ import annotations
 
 import heapq
 import math
-import re
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,6 +34,7 @@ from ..session import stage
 
 # Fixed values of the contract: a term is a maximal run outside these ASCII ranges.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 K = 20
 # Longest vectors scored first to give every task a starting threshold.
@@ -52,22 +53,29 @@ def terms(text: Column) -> Column:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(doc_id, n, terms, cnts)`` of each text, terms sorted; C-level regex and counting in slices of rows."""
-    pattern = re.compile(TERM)
-    lower = str.maketrans(UPPER, LOWER)
+    """``(doc_id, n, terms, cnts)`` of each lower-cased text, in Arrow kernels and numpy, slices of rows.
+
+    Texts are split on maximal runs of the excluded ASCII ranges, so the pieces
+    left are the terms; (row, term) pairs are counted by one sort of codes.
+    """
     for batch in batches:
         for start in range(0, batch.num_rows, SLICE):
             part = batch.slice(start, SLICE)
-            ns, terms_, cnts = [], [], []
-            for t in part.column("t").to_pylist():
-                counted = sorted(Counter(pattern.findall((t or "").translate(lower))).items())
-                ns.append(sum(c for _, c in counted))
-                terms_.append([w for w, _ in counted])
-                cnts.append([c for _, c in counted])
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(ns, pa.int64()), pa.array(terms_, pa.list_(pa.string())), pa.array(cnts, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "terms", "cnts"],
-            )
+            pieces = pc.split_pattern_regex(pc.fill_null(part.column("t"), ""), pattern=SEPARATOR)
+            flat = pc.list_flatten(pieces)
+            owner = pc.list_parent_indices(pieces)
+            keep = pc.greater(pc.binary_length(flat), 0)
+            flat, owner = flat.filter(keep), owner.filter(keep).to_numpy().astype(np.int64)
+            coded = pc.dictionary_encode(flat)
+            words = coded.dictionary
+            pair = owner * max(1, len(words)) + coded.indices.to_numpy().astype(np.int64)
+            unique, cnts = np.unique(pair, return_counts=True)
+            rows = unique // max(1, len(words))
+            offsets = np.searchsorted(rows, np.arange(part.num_rows + 1)).astype(np.int32)
+            terms_ = pa.ListArray.from_arrays(pa.array(offsets), words.take(pa.array(unique % max(1, len(words)))))
+            counts = pa.ListArray.from_arrays(pa.array(offsets), pa.array(cnts.astype(np.int64)))
+            n = np.bincount(owner, minlength=part.num_rows).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), terms_, counts], names=["doc_id", "n", "terms", "cnts"])
 
 
 def impact_index(documents: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, int, int]:
@@ -77,7 +85,8 @@ def impact_index(documents: DataFrame, key: str = "doc_id", text: str = "text")
     included. Terms are counted in the document's row; the index is written
     once to the shared folder.
     """
-    texts = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("t"))
+    low = F.translate(F.col(text).cast("string"), UPPER, LOWER)
+    texts = documents.select(F.col(key).cast("bigint").alias("doc_id"), low.alias("t"))
     counted = texts.mapInArrow(_count, "doc_id bigint, n bigint, terms array<string>, cnts array<bigint>")
     counted = stage(counted.where(F.col("n") > 0), "lemp-counts")
     got = counted.agg(F.count(F.lit(1)).alias("N"), F.sum("n").alias("L")).first()
@@ -127,6 +136,7 @@ def _scorer(block: list[dict], thresholds: dict[int, int], k: int):
         focus.append((ft, int(fv)))
         rest_norm.append(math.sqrt(max(0.0, sum(float(v) * v for _, v in pairs) - float(fv) * fv)))
     seed = [thresholds.get(q["qid"], 0) for q in block]
+    vocab = pa.array(sorted(by_term), pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heaps: list[list] = [[] for _ in block]
@@ -139,20 +149,28 @@ def _scorer(block: list[dict], thresholds: dict[int, int], k: int):
         for part in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             if not active:
                 break
-            cols = part.to_pydict()
-            if not cols["norm"]:
+            norms = part.column("norm").to_pylist()
+            if not norms:
                 continue
             # Bucket bound: rows come longest first, so a query cut at a batch's
             # longest vector stays cut for the rest of the task.
-            top = cols["norm"][0]
+            top = norms[0]
             for qi in [q for q in active if qnorm[q] * top * (1 + SLACK) + 1 < floor_of(q)]:
                 active.discard(qi)
             if not active:
                 break
-            for doc_id, norm, dterms, dimps in zip(cols["doc_id"], cols["norm"], cols["terms"], cols["imps"]):
-                vec = {t: v for t, v in zip(dterms, dimps) if t in by_term}
-                if not vec:
-                    continue
+            # Only the coordinates that some query has reach Python.
+            flat = pc.list_flatten(part.column("terms"))
+            hit = pc.is_in(flat, value_set=vocab)
+            owner = pc.list_parent_indices(part.column("terms")).filter(hit).to_numpy()
+            hit_terms = flat.filter(hit).to_pylist()
+            hit_imps = pc.list_flatten(part.column("imps")).filter(hit).to_pylist()
+            ids = part.column("doc_id").to_pylist()
+            bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
+            for row in np.nonzero(bounds[1:] > bounds[:-1])[0].tolist():
+                doc_id, norm = ids[row], norms[row]
+                lo_, hi_ = bounds[row], bounds[row + 1]
+                vec = dict(zip(hit_terms[lo_:hi_], hit_imps[lo_:hi_]))
                 touched = {qi for t in vec for qi, _ in by_term[t] if qi in active}
                 order_key = -doc_id if doc_id is not None else -(1 << 63) - 1
                 for qi in touched:
