@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ ROW_BATCH_TERMS = 100_000
 ROW_BATCH_BYTES = 8 * 1024 * 1024
 # Scored pairs that a task holds before it goes back to its best k per query.
 HELD_PAIRS = 500_000
+# Records handed to Arrow kernels at a time.
+SLICE_ROWS = 1024
 
 
 def query_vector(
@@ -132,17 +135,53 @@ def best_in_rows(records: DataFrame, qvec: DataFrame, k: int, margin: float) ->
     table: dict[str, list[tuple[int, float]]] = {}
     for r in rows:
         table.setdefault(r["term"], []).append((place[r["qid"]], r["qw"] / r["qnorm"]))
-    arrays = {t: (np.array([i for i, _ in x]), np.array([w for _, w in x])) for t, x in table.items()}
+    terms = sorted(table)
+    vocab = pa.array(terms, pa.string())
+    # For the i-th term of the batch: its queries and their weights, laid end to end.
+    counts = np.array([len(table[t]) for t in terms], dtype=np.int64)
+    starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    q_of = np.array([i for t in terms for i, _ in table[t]], dtype=np.int64)
+    w_of = np.array([w for t in terms for _, w in table[t]], dtype=np.float64)
     kinds = {f.name: f.dataType.simpleString() for f in records.schema.fields} | {f.name: f.dataType.simpleString() for f in qvec.schema.fields}
     held_pairs = HELD_PAIRS
+    width = max(1, len(names))
 
     def best(query: np.ndarray, value: np.ndarray) -> np.ndarray:
         order = np.lexsort((-value, query))
-        starts = np.flatnonzero(np.r_[True, query[order][1:] != query[order][:-1]])
-        sizes = np.diff(np.r_[starts, len(order)])
-        kth = value[order][starts + np.minimum(sizes, k) - 1]
+        starts_ = np.flatnonzero(np.r_[True, query[order][1:] != query[order][:-1]])
+        sizes = np.diff(np.r_[starts_, len(order)])
+        kth = value[order][starts_ + np.minimum(sizes, k) - 1]
         return order[value[order] >= np.repeat(kth, sizes) - margin]
 
+    def scored(part: pa.RecordBatch) -> tuple[list, np.ndarray, np.ndarray]:
+        """Sparse sums of one slice: only the coordinates that some query holds leave Arrow."""
+        keys_, weights_ = part.column(1), part.column(2)
+        flat = pc.list_flatten(keys_)
+        where = pc.index_in(flat, value_set=vocab)
+        hit = pc.is_valid(where)
+        owner = pc.list_parent_indices(keys_).filter(hit).to_numpy().astype(np.int64)
+        term = where.filter(hit).to_numpy().astype(np.int64)
+        w = pc.list_flatten(weights_).filter(hit).to_numpy(zero_copy_only=False).astype(np.float64)
+        norms = part.column(3).to_numpy(zero_copy_only=False)
+        if owner.size == 0:
+            return [], np.zeros(0, np.int64), np.zeros(0)
+        reps = counts[term]
+        pos = np.repeat(starts[term] - np.cumsum(np.r_[0, reps[:-1]]), reps) + np.arange(reps.sum())
+        doc = np.repeat(owner, reps)
+        pair = doc * width + q_of[pos]
+        contrib = np.repeat(w, reps) * w_of[pos]
+        # Sums in the order of the document's terms, as a running sum would give.
+        order = np.argsort(pair, kind="stable")
+        pair, contrib = pair[order], contrib[order]
+        first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
+        dots = np.add.reduceat(contrib, first)
+        pair = pair[first]
+        doc, query = pair // width, pair % width
+        norm = norms[doc]
+        ok = (norm > 0) & (dots > 0)
+        ids = part.column(0).to_pylist()
+        return [ids[i] for i in doc[ok].tolist()], query[ok], dots[ok] / norm[ok]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, query, value = [], [], []
         pending = 0
@@ -153,19 +192,14 @@ def best_in_rows(records: DataFrame, qvec: DataFrame, k: int, margin: float) ->
             return [ids[i] for i in keep.tolist()], q[keep], v[keep]
 
         for batch in batches:
-            for doc, terms, weights in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                hits = [(arrays[t], w) for t, w in zip(terms or (), weights or ()) if t in arrays]
-                norm = np.sqrt(sum(w * w for w in weights or ()))
-                if not hits or not norm:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                got_ids, got_q, got_v = scored(batch.slice(start, SLICE_ROWS))
+                if not got_ids:
                     continue
-                dots = np.zeros(len(names))
-                for (at, qw), w in hits:
-                    dots[at] += qw * w
-                found = np.flatnonzero(dots > 0)
-                ids += [doc] * len(found)
-                query.append(found)
-                value.append(dots[found] / norm)
-                pending += len(found)
+                ids += got_ids
+                query.append(got_q)
+                value.append(got_v)
+                pending += len(got_ids)
                 if pending > held_pairs:
                     ids, q, v = pruned()
                     query, value, pending = [q], [v], 0
@@ -173,7 +207,10 @@ def best_in_rows(records: DataFrame, qvec: DataFrame, k: int, margin: float) ->
             ids, q, v = pruned()
             yield pa.RecordBatch.from_pydict({"qid": [names[i] for i in q.tolist()], "id": ids, "score": v})
 
-    columns = records.select("id", F.map_keys("tfidf").alias("terms"), F.map_values("tfidf").alias("weights"))
+    # The norm is computed in the JVM over all terms; Python sees only the matching ones.
+    columns = records.select(
+        "id", F.map_keys("tfidf").alias("terms"), F.map_values("tfidf").alias("weights"), scores.norm(F.map_values("tfidf")).alias("norm")
+    )
     return columns.mapInArrow(run, f"qid {kinds['qid']}, id {kinds['id']}, score double")
 
 
