@@ -56,20 +56,26 @@ _M2 = np.uint64(0x94D049BB133111EB)
 _LOW = np.uint64(0xFFFFFFFF)
 
 
-def shingle_set(text: Column) -> Column:
-    """Sorted distinct 64-bit hashes of the text's 5-word shingles.
+def _words(text: Column) -> Column:
+    """Words of the text, A-Z lower-cased; null and white space give none."""
+    low = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    return F.filter(F.split(low, SPACE), lambda w: w != "")
+
+
+def _hashed_grams(words: Column) -> Column:
+    """Sorted distinct 64-bit hashes of the 5-word shingles of a words column.
 
     Fewer than five words give the whole word sequence as one shingle; no words
-    (null, empty or only white space) give the empty set.
+    give the empty set.
+    ``words`` should be a column of its own: a lambda that named the split
+    expression would split the whole text again for every shingle.
     """
-    low = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    words = F.filter(F.split(low, SPACE), lambda w: w != "")
     n = F.size(words)
     grams = F.when(
         n >= SHINGLE,
-        F.transform(F.sequence(F.lit(1), n - SHINGLE + 1), lambda i: F.array_join(F.slice(words, i, SHINGLE), " ")),
+        F.transform(F.sequence(F.lit(0), n - SHINGLE), lambda i: F.concat_ws(" ", *[words[i + k] for k in range(SHINGLE)])),
     ).when(n > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
-    return F.array_sort(F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g))))
+    return F.sort_array(F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g))))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -201,7 +207,8 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
       (1 - 0.85^4)^32 < 1e-10; every candidate pair is verified exactly.
     * Empty tables give no rows; extra columns are ignored.
     """
-    rows = documents.select(F.col(key).alias("doc_id"), shingle_set(F.col(text)).alias("s"))
+    rows = documents.select(F.col(key).alias("doc_id"), _words(F.col(text)).alias("w"))
+    rows = rows.select("doc_id", _hashed_grams(F.col("w")).alias("s"))
     rows = rows.select("doc_id", F.size("s").cast("bigint").alias("n_shingles"), F.when(F.size("s") > 0, _node_id(F.col("s"))).alias("node"), "s")
     rows = stage(rows, "smh-rows")
     nodes = rows.where(F.col("node").isNotNull()).select("node", F.col("n_shingles").alias("n"), "s").dropDuplicates(["node"])
