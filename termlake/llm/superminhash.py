@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import broadcast_if_small, stage
 from .components import components
 
 # Fixed values of the contract.
@@ -43,6 +43,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 M = 128
 ROWS = 4
 BANDS = M // ROWS
+# Bands of the first wave; the rest only meet across its components.
+WAVE_BANDS = 2
 # Sets of one batch whose signatures are made together, and elements handled at once.
 SIG_SETS = 256
 SIG_ELEMENTS = 1 << 16
@@ -138,7 +140,11 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links_in_block(rows: pd.DataFrame) -> pd.DataFrame:
-    """Verified links of one block pair of one bucket, as a forest."""
+    """Verified links of one block pair of one bucket, as a forest.
+
+    Rows of one component of an earlier wave (column ``comp``) start joined in
+    the union-find: they are connected already, so no pair of them is checked.
+    """
     band = int(rows["band"].iloc[0])
     lo, hi = int(rows["bi"].iloc[0]), int(rows["bj"].iloc[0])
     rows = rows.sort_values("nid").reset_index(drop=True)
@@ -148,6 +154,9 @@ def _links_in_block(rows: pd.DataFrame) -> pd.DataFrame:
     sets = [np.asarray(s, dtype=np.int64) for s in rows["s"]]
     blocks = rows["block"].to_numpy()
     parent = list(range(len(rows)))
+    first: dict[int, int] = {}
+    for i, c in enumerate(rows["comp"].to_numpy(dtype=np.int64).tolist()):
+        parent[i] = first.setdefault(c, i)
 
     def find(i: int) -> int:
         while parent[i] != i:
@@ -191,6 +200,47 @@ def _node_id(text_set: Column) -> Column:
     return F.sha2(F.array_join(F.transform(text_set, lambda h: h.cast("string")), ","), 256)
 
 
+def _release(df: DataFrame) -> None:
+    """Let the driver collect plans that are written out, so the cleaner deletes their shuffle files."""
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
+def _wave_links(sigs: DataFrame, lo: int, hi: int, joined: DataFrame | None) -> DataFrame:
+    """Verified links (a forest per task) of bands ``lo`` to ``hi - 1``, written.
+
+    With ``joined`` (``id, comp`` of the components of earlier waves), a bucket
+    whose members all lie in one component is skipped, and members of one
+    component are not compared again.
+    """
+    bands = sigs.select(
+        "nid",
+        "n",
+        F.posexplode(F.transform(F.sequence(F.lit(lo), F.lit(hi - 1)), lambda b: F.xxhash64(F.slice("sig", b * ROWS + 1, ROWS)))).alias("band", "key"),
+    ).withColumn("band", F.col("band") + lo)
+    if joined is None:
+        bands = bands.withColumn("comp", F.col("nid"))
+    else:
+        comp = broadcast_if_small(joined.select(F.col("id").alias("nid"), "comp"))
+        bands = bands.join(comp, "nid", "left").withColumn("comp", F.coalesce("comp", "nid"))
+    buckets = bands.groupBy("band", "key").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("mass"), F.min("comp").alias("c0"), F.max("comp").alias("c1")
+    )
+    buckets = buckets.where((F.col("size") > 1) & (F.col("c0") < F.col("c1"))).drop("c0", "c1")
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK_SETS), F.ceil(F.col("mass") / BLOCK_SHINGLES)).cast("int")
+    busy = bands.join(buckets.withColumn("blocks", blocks), ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int"))
+    # Every pair of blocks of a bucket meets in one group: a member of block a joins (a, c) and (c, a).
+    partners = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda c: F.struct(F.least(F.col("block"), c).alias("bi"), F.greatest(F.col("block"), c).alias("bj")))
+    busy = stage(busy.select("band", "key", "nid", "comp", "block", F.inline(partners)), f"smh-busy{lo}")
+    _release(busy)
+    # Each member carries only the signature values up to its band.
+    wanted = broadcast_if_small(busy.select("nid").distinct())
+    full = busy.join(sigs.join(wanted, "nid", "left_semi").select("nid", "n", "sig", "s"), "nid")
+    full = full.withColumn("sig", F.slice("sig", 1, (F.col("band") + 1) * ROWS))
+    links = stage(full.groupBy("band", "key", "bi", "bj").applyInPandas(_links_in_block, "a bigint, b bigint"), f"smh-links{lo}")
+    _release(links)
+    return links
+
+
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept``.
 
@@ -215,20 +265,12 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     # A written table fixes the long id of each distinct set.
     signed = nodes.mapInArrow(_sign, "node string, n bigint, sig array<bigint>, s array<bigint>")
     sigs = stage(signed.withColumn("nid", F.monotonically_increasing_id()), "smh-sigs")
-    bands = sigs.select(
-        "nid",
-        "n",
-        F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.slice("sig", b * ROWS + 1, ROWS)))).alias("band", "key"),
-    )
-    buckets = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("mass")).where(F.col("size") > 1)
-    blocks = F.greatest(F.ceil(F.col("size") / BLOCK_SETS), F.ceil(F.col("mass") / BLOCK_SHINGLES)).cast("int")
-    busy = bands.join(buckets.withColumn("blocks", blocks), ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int"))
-    # Every pair of blocks of a bucket meets in one group: a member of block a joins (a, c) and (c, a).
-    partners = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda c: F.struct(F.least(F.col("block"), c).alias("bi"), F.greatest(F.col("block"), c).alias("bj")))
-    busy = stage(busy.select("band", "key", "nid", "block", F.inline(partners)), "smh-busy")
-    full = busy.join(sigs.select("nid", "n", "sig", "s"), "nid")
-    links = full.groupBy("band", "key", "bi", "bj").applyInPandas(_links_in_block, "a bigint, b bigint")
-    links = stage(links, "smh-links")
+    del nodes, signed
+    _release(sigs)
+    first = _wave_links(sigs, 0, WAVE_BANDS, None)
+    joined = stage(components(first), "smh-comp1")
+    second = _wave_links(sigs, WAVE_BANDS, BANDS, joined)
+    links = first.unionByName(second)
     comps = components(links)
     ids = rows.select("doc_id", "node").where(F.col("node").isNotNull()).join(sigs.select("node", "nid"), "node")
     named = ids.join(comps.withColumnRenamed("id", "nid"), "nid", "left").select("doc_id", "node", F.coalesce("comp", "nid").alias("comp"))
