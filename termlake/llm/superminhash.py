@@ -134,8 +134,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = [np.asarray(s, dtype=np.int64) for s in part.column("s").to_pylist()]
             sig = signatures(sets)
             yield pa.RecordBatch.from_arrays(
-                [part.column("node"), part.column("n"), pa.ListArray.from_arrays(pa.array(np.arange(0, sig.size + 1, M, dtype=np.int32)), pa.array(sig.reshape(-1))), part.column("s")],
-                names=["node", "n", "sig", "s"],
+                [part.column("nid"), part.column("node"), part.column("n"), pa.ListArray.from_arrays(pa.array(np.arange(0, sig.size + 1, M, dtype=np.int32)), pa.array(sig.reshape(-1)))],
+                names=["nid", "node", "n", "sig"],
             )
 
 
@@ -196,8 +196,8 @@ def _links_in_block(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _node_id(text_set: Column) -> Column:
-    """Name of a set: SHA-256 of its sorted hashes; equal sets share it."""
-    return F.sha2(F.array_join(F.transform(text_set, lambda h: h.cast("string")), ","), 256)
+    """Name of a set: two 64-bit hashes of its sorted hashes under different seeds; equal sets share it."""
+    return F.concat_ws(":", F.hex(F.xxhash64(text_set)), F.hex(F.xxhash64(F.lit(1), text_set)))
 
 
 def _release(df: DataFrame) -> None:
@@ -205,10 +205,11 @@ def _release(df: DataFrame) -> None:
     df.sparkSession.sparkContext._jvm.System.gc()
 
 
-def _wave_links(sigs: DataFrame, lo: int, hi: int, joined: DataFrame | None) -> DataFrame:
+def _wave_links(sigs: DataFrame, sets: DataFrame, lo: int, hi: int, joined: DataFrame | None) -> DataFrame:
     """Verified links (a forest per task) of bands ``lo`` to ``hi - 1``, written.
 
-    With ``joined`` (``id, comp`` of the components of earlier waves), a bucket
+    ``sets`` holds ``nid, s``: the full set of each node, read only for nodes
+    in a bucket. With ``joined`` (``id, comp`` of the components of earlier waves), a bucket
     whose members all lie in one component is skipped, and members of one
     component are not compared again.
     """
@@ -234,7 +235,8 @@ def _wave_links(sigs: DataFrame, lo: int, hi: int, joined: DataFrame | None) ->
     _release(busy)
     # Each member carries only the signature values up to its band.
     wanted = broadcast_if_small(busy.select("nid").distinct())
-    full = busy.join(sigs.join(wanted, "nid", "left_semi").select("nid", "n", "sig", "s"), "nid")
+    full = busy.join(sigs.join(wanted, "nid", "left_semi").select("nid", "n", "sig"), "nid")
+    full = full.join(sets.join(wanted, "nid", "left_semi"), "nid")
     full = full.withColumn("sig", F.slice("sig", 1, (F.col("band") + 1) * ROWS))
     links = stage(full.groupBy("band", "key", "bi", "bj").applyInPandas(_links_in_block, "a bigint, b bigint"), f"smh-links{lo}")
     _release(links)
@@ -247,6 +249,8 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     * Two sets are linked when ``100 |I| >= 85 |U|``, confirmed on the full sets
       of 64-bit shingle hashes (two different shingles of a text share a hash with
       probability about n^2 / 2^65). Equal sets are always linked.
+      Sets are named by a 128-bit hash and their first row; two different sets
+      share a name with probability about 2^-128 a pair.
     * ``component_id`` is the smallest doc_id reachable, the row's own included;
       null when every reachable row has a null doc_id. ``kept`` is
       ``doc_id <=> component_id`` (null-safe), so repeated rows of the smallest
@@ -260,19 +264,24 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     rows = documents.select(F.col(key).alias("doc_id"), _words(F.col(text)).alias("w"))
     rows = rows.select("doc_id", _hashed_grams(F.col("w")).alias("s"))
     rows = rows.select("doc_id", F.size("s").cast("bigint").alias("n_shingles"), F.when(F.size("s") > 0, _node_id(F.col("s"))).alias("node"), "s")
-    rows = stage(rows, "smh-rows")
-    nodes = rows.where(F.col("node").isNotNull()).select("node", F.col("n_shingles").alias("n"), "s").dropDuplicates(["node"])
-    # A written table fixes the long id of each distinct set.
-    signed = nodes.mapInArrow(_sign, "node string, n bigint, sig array<bigint>, s array<bigint>")
-    sigs = stage(signed.withColumn("nid", F.monotonically_increasing_id()), "smh-sigs")
-    del nodes, signed
+    rows = stage(rows.withColumn("rid", F.monotonically_increasing_id()), "smh-rows")
+    # A node is named by its first row: only keys are shuffled, the sets stay in the row table.
+    reps = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("rid").alias("nid"))
+    reps = stage(reps, "smh-reps")
+    sets = rows.select(F.col("rid").alias("nid"), "s")
+    firsts = rows.join(broadcast_if_small(reps.select(F.col("nid").alias("rid"))), "rid", "left_semi")
+    signed = firsts.select(F.col("rid").alias("nid"), "node", F.col("n_shingles").alias("n"), "s").mapInArrow(
+        _sign, "nid bigint, node string, n bigint, sig array<bigint>"
+    )
+    sigs = stage(signed, "smh-sigs")
+    del firsts, signed
     _release(sigs)
-    first = _wave_links(sigs, 0, WAVE_BANDS, None)
+    first = _wave_links(sigs, sets, 0, WAVE_BANDS, None)
     joined = stage(components(first), "smh-comp1")
-    second = _wave_links(sigs, WAVE_BANDS, BANDS, joined)
+    second = _wave_links(sigs, sets, WAVE_BANDS, BANDS, joined)
     links = first.unionByName(second)
     comps = components(links)
-    ids = rows.select("doc_id", "node").where(F.col("node").isNotNull()).join(sigs.select("node", "nid"), "node")
+    ids = rows.select("doc_id", "node").where(F.col("node").isNotNull()).join(reps, "node")
     named = ids.join(comps.withColumnRenamed("id", "nid"), "nid", "left").select("doc_id", "node", F.coalesce("comp", "nid").alias("comp"))
     least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     by_node = named.select("node", "comp").distinct().join(least, "comp").select("node", "component_id")
