@@ -34,15 +34,39 @@ def term_counts(
     ``total`` is the number of tokens in the document. With ``keep_empty`` a
     document without tokens gives one row with null term and count.
     """
-    counted = docs.select(id_col, tokenizer(F.col(text_col)).alias("_tokens")).select(
+    rows = bag_counts(term_bags(docs, tokenizer, id_col, text_col), id_col)
+    return rows if keep_empty else rows.where(F.col("term").isNotNull())
+
+
+def term_bags(
+    docs: DataFrame,
+    tokenizer: Callable[[Column], Column] = tk.lex_alpha,
+    id_col: str = "id",
+    text_col: str = "text",
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """``(id, total, bag, *keep)``: each document's counts ``(term, cnt)`` in its own row, by term."""
+    return docs.select(id_col, *keep, tokenizer(F.col(text_col)).alias("_tokens")).select(
         id_col,
         F.size("_tokens").cast("bigint").alias("total"),
-        tk.count_tokens(F.col("_tokens")).alias("_counts"),
+        tk.count_tokens(F.col("_tokens")).alias("bag"),
+        *keep,
     )
+
+
+def bag_counts(bags: DataFrame, id_col: str = "id") -> DataFrame:
+    """``(id, total, term, cnt)`` from bags; an empty one gives a row with null term and count."""
     # The outer form, because Spark guards the inner one by a filter on the size
     # of the array, which would count every document's tokens a second time.
-    rows = counted.select(id_col, "total", F.inline_outer("_counts"))
-    return rows if keep_empty else rows.where(F.col("term").isNotNull())
+    return bags.select(id_col, "total", F.inline_outer("bag"))
+
+
+def merged_bags(bags: DataFrame, id_col: str = "id") -> DataFrame:
+    """``(id, total, bag)`` with the counts of all rows of an id added up."""
+    sums = bag_counts(bags, id_col).groupBy(id_col, "term").agg(F.sum("cnt").alias("cnt"))
+    pair = F.when(F.col("term").isNotNull(), F.struct("term", "cnt"))
+    whole = sums.groupBy(id_col).agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("total"), F.sort_array(F.collect_list(pair)).alias("bag"))
+    return whole.select(id_col, F.col("total").cast("bigint").alias("total"), "bag")
 
 
 def term_freq(docs: DataFrame, **how) -> DataFrame:

@@ -11,6 +11,8 @@ from ..session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, stage
 # At most this many keys can each hold 1/HOT_KEYS of the rows.
 HOT_KEYS = 10_000
 HOT_KEY_BYTES = 256
+# Numbers of hits are told apart up to this one when the broadcast part of a lookup is chosen.
+HOT_HITS = 1_024
 # Spark prunes each task's rows before a ranking shuffle up to this rank.
 GROUP_LIMIT = 1_000
 SALTS = 1_024
@@ -55,13 +57,32 @@ def join_by_frequency(facts: DataFrame, lookup: DataFrame, key: str, hits: str)
 def split_join(facts: DataFrame, lookup: DataFrame, key: str, hits: str, total: int) -> DataFrame:
     """The large case of :func:`join_by_frequency`."""
     values = [c for c in lookup.columns if c != key]
-    hot = lookup.where((F.col(hits) * HOT_KEYS >= total) & (F.octet_length(key) <= HOT_KEY_BYTES))
+    often = (F.col(hits) * HOT_KEYS >= total) & (F.octet_length(key) <= HOT_KEY_BYTES)
+    floor = hot_floor(lookup, key, hits)
+    hot = lookup.where(often if floor is None else often | (F.col(hits) >= floor))
     tagged = facts.join(F.broadcast(hot), key, "left")
     settled = tagged.where(F.col(hits).isNotNull() | F.col(key).isNull())
     cold = tagged.where(F.col(hits).isNull() & F.col(key).isNotNull()).drop(*values).join(lookup, key, "left")
     return settled.unionByName(cold)
 
 
+def hot_floor(lookup: DataFrame, key: str, hits: str, least: int = 1) -> int | None:
+    """Smallest number of hits, ``least`` at least, from which on all keys together may be broadcast.
+
+    None where even the keys of ``HOT_HITS`` hits are too many.
+    """
+    at = F.least(F.col(hits), F.lit(HOT_HITS)).alias("at")
+    sizes = lookup.where(F.col(hits) >= least).groupBy(at).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(key) + 32).alias("b"))
+    rows, volume, floor = 0, 0, None
+    found = sorted(sizes.collect(), key=lambda r: -r["at"])
+    for r in found:
+        rows, volume = rows + r["n"], volume + (r["b"] or 0)
+        if rows > BROADCAST_MAX_ROWS or volume > BROADCAST_MAX_BYTES:
+            return floor
+        floor = r["at"]
+    return least
+
+
 def range_blocks(df: DataFrame, by: list[str], order: list[str], label: str) -> DataFrame:
     """Stage ``df`` in blocks that follow ``(by, order)``; adds ``_block``.
 

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions import tokens as tk
 from ..session import broadcast_if_small, is_small
-from .counts import term_counts
+from .counts import bag_counts, term_bags, term_counts
 
 # Lists up to these lengths are looked up inside a document's row.
 ROW_STOPWORDS = 10_000
 ROW_LEMMAS = 256
+BAG = "array<struct<term:string,cnt:bigint>>"
 
 
 def as_words(words: DataFrame | Iterable[str], like: DataFrame) -> DataFrame:
@@ -63,9 +64,24 @@ def normalize_docs(
 ) -> DataFrame:
     """``(id, total, term, cnt)`` of ``docs(id, text)`` after :func:`normalize_counts`.
 
+    A document without terms gives one row with a null term.
+    """
+    return bag_counts(normalize_bags(docs, stopwords, lemmas, min_len, tokenizer))
+
+
+def normalize_bags(
+    docs: DataFrame,
+    stopwords: DataFrame | Iterable[str] = (),
+    lemmas: DataFrame | None = None,
+    min_len: int = 2,
+    tokenizer: Callable[[Column], Column] = tk.lex_alpha,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """As :func:`normalize_docs`, ``(id, total, bag)`` with one row per document.
+
     With short lists tokens are filtered, mapped and counted in the document's
-    own row, so nothing is shuffled; longer lists are joined. A document without
-    terms gives one row with a null term.
+    own row, so nothing is shuffled, and columns to ``keep`` stay with it; longer
+    lists are joined.
     """
     words = as_words(stopwords, docs)
     pairs = None if lemmas is None else lemmas.groupBy("token").agg(F.min("lemma").alias("lemma"))
@@ -77,10 +93,10 @@ def normalize_docs(
             kept = F.filter(tokenizer(text), lambda t: (F.length(t) >= min_len) & (~t.isin(stop) if stop else F.lit(True)))
             return F.transform(kept, lambda t: F.coalesce(F.create_map(*mapped)[t], t)) if mapped else kept
 
-        return term_counts(docs, normal, keep_empty=True)
+        return term_bags(docs, normal, keep=keep)
     counts = normalize_counts(term_counts(docs, tokenizer).drop("total"), stopwords, lemmas, min_len)
-    grouped = counts.groupBy("id").agg(F.collect_list(F.struct("term", "cnt")).alias("c"))
-    total = F.aggregate("c.cnt", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    totals = grouped.select("id", total.alias("total"), "c")
+    grouped = counts.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("term", "cnt"))).alias("bag"))
+    total = F.aggregate("bag.cnt", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    totals = grouped.select("id", total.alias("total"), "bag")
     rows = docs.select("id").join(totals, "id", "left")
-    return rows.select("id", F.coalesce("total", F.lit(0).cast("bigint")).alias("total"), F.inline_outer("c"))
+    return rows.select("id", F.coalesce("total", F.lit(0).cast("bigint")).alias("total"), F.coalesce("bag", F.array().cast(BAG)).alias("bag"))

@@ -91,6 +91,41 @@ def overlap_terms(matches: DataFrame, id_col: str = "id") -> DataFrame:
     return shared.withColumn("n", F.size("terms").cast("bigint"))
 
 
+def overlap_in_rows(term_lists: DataFrame, qvec: DataFrame) -> DataFrame:
+    """As :func:`overlap_terms`, for documents ``(id, terms)`` with one row each and a batch measured to be small.
+
+    A document's terms are looked up in the batch in its row, so no match is shuffled.
+    """
+    names, vocab, counts, starts, q_of, _ = query_table(qvec)
+    kinds = {f.name: f.dataType.simpleString() for f in [*term_lists.schema.fields, *qvec.schema.fields]}
+    width = max(1, len(names))
+
+    def shared(part: pa.RecordBatch) -> pa.RecordBatch:
+        where = pc.index_in(pc.list_flatten(part.column(1)), value_set=vocab)
+        hit = pc.is_valid(where)
+        term = where.filter(hit).to_numpy().astype(np.int64)
+        reps = counts[term]
+        pos = np.repeat(starts[term] - np.cumsum(np.r_[0, reps[:-1]]), reps) + np.arange(reps.sum())
+        doc = np.repeat(pc.list_parent_indices(part.column(1)).filter(hit).to_numpy().astype(np.int64), reps)
+        # Terms are numbered in order, so one sort gives each pair its terms, sorted and once each.
+        keyed = np.unique((doc * width + q_of[pos]) * max(1, len(vocab)) + np.repeat(term, reps))
+        pair, term = keyed // max(1, len(vocab)), keyed % max(1, len(vocab))
+        first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]]) if len(pair) else np.zeros(0, np.int64)
+        sizes = np.diff(np.r_[first, len(pair)])
+        terms = pa.ListArray.from_arrays(pa.array(np.r_[first, len(pair)].astype(np.int32)), vocab.take(pa.array(term)))
+        qids = names.take(pa.array(pair[first] % width))
+        ids = part.column(0).take(pa.array(pair[first] // width))
+        return pa.RecordBatch.from_arrays([qids, ids, terms, pa.array(sizes)], names=["qid", "id", "terms", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                yield shared(batch.slice(start, SLICE_ROWS))
+
+    columns = term_lists.select("id", "terms")
+    return columns.mapInArrow(run, f"qid {kinds['qid']}, id {kinds['id']}, terms array<string>, n bigint")
+
+
 def attach_meta(hits: DataFrame, docs: DataFrame, small_hits: bool, id_col: str = "id") -> DataFrame:
     """Hits with ``url`` and ``title``; every hit is a document.
 
@@ -121,6 +156,30 @@ def search(
     return found.select("qid", "rank", "score", "id", "url", "title")
 
 
+def fits_rows(qvec: DataFrame) -> bool:
+    """Whether a batch was measured to be small enough to be met in the documents' rows."""
+    return is_small(qvec, ROW_BATCH_TERMS, ROW_BATCH_BYTES)
+
+
+def query_table(qvec: DataFrame) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A small batch as arrays: its ids, its terms in order, and for the i-th term
+    ``counts[i]`` places of queries and their weights, laid end to end from ``starts[i]``."""
+    rows = qvec.toArrow()
+    # A null id is the last one.
+    ids = rows["qid"].combine_chunks()
+    names = pc.unique(ids).take(pc.sort_indices(pc.unique(ids)))
+    place = {q: i for i, q in enumerate(names.to_pylist())}
+    table: dict[str, list[tuple[int, float]]] = {}
+    for qid, term, qw, qnorm in zip(*(rows[c].to_pylist() for c in ("qid", "term", "qw", "qnorm"))):
+        table.setdefault(term, []).append((place[qid], qw / qnorm))
+    terms = sorted(table)
+    counts = np.array([len(table[t]) for t in terms], dtype=np.int64)
+    starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    q_of = np.array([i for t in terms for i, _ in table[t]], dtype=np.int64)
+    w_of = np.array([w for t in terms for _, w in table[t]], dtype=np.float64)
+    return names, pa.array(terms, pa.string()), counts, starts, q_of, w_of
+
+
 def best_in_rows(records: DataFrame, qvec: DataFrame, k: int, margin: float) -> DataFrame:
     """``(qid, id, score)``: each task's best ``k`` documents per query, with positive scores.
 
@@ -129,19 +188,8 @@ def best_in_rows(records: DataFrame, qvec: DataFrame, k: int, margin: float) ->
     found to be among a task's best. Pairs within ``margin`` of the k-th stay,
     so rounding and ties are decided by the caller.
     """
-    rows = qvec.collect()
-    names = sorted({r["qid"] for r in rows})
-    place = {q: i for i, q in enumerate(names)}
-    table: dict[str, list[tuple[int, float]]] = {}
-    for r in rows:
-        table.setdefault(r["term"], []).append((place[r["qid"]], r["qw"] / r["qnorm"]))
-    terms = sorted(table)
-    vocab = pa.array(terms, pa.string())
-    # For the i-th term of the batch: its queries and their weights, laid end to end.
-    counts = np.array([len(table[t]) for t in terms], dtype=np.int64)
-    starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-    q_of = np.array([i for t in terms for i, _ in table[t]], dtype=np.int64)
-    w_of = np.array([w for t in terms for _, w in table[t]], dtype=np.float64)
+    names, vocab, counts, starts, q_of, w_of = query_table(qvec)
+    names = names.to_pylist()
     kinds = {f.name: f.dataType.simpleString() for f in records.schema.fields} | {f.name: f.dataType.simpleString() for f in qvec.schema.fields}
     held_pairs = HELD_PAIRS
     width = max(1, len(names))
@@ -220,23 +268,24 @@ def search_records(
     k: int = 10,
     tokenizer: Callable[[Column], Column] = tk.tokenize_word,
     digits: int | None = None,
+    docs: DataFrame | None = None,
 ) -> DataFrame:
-    """As :func:`search`, over index records ``(id, url, title, tfidf MAP)``.
+    """As :func:`search`, over index records ``(id, url, title, tfidf MAP)`` of unique ids.
 
-    A batch of measured size is scored in the records' rows; a larger one goes
+    With ``docs`` a hit has the URL and title of each of its rows there. A batch of measured size is scored in the records' rows; a larger one goes
     through postings.
     """
     if k < 0:
         raise ValueError("k must not be negative")
     qvec = query_vector(queries, tokenizer)
-    if not is_small(qvec, ROW_BATCH_TERMS, ROW_BATCH_BYTES) or k == 0:
+    if not fits_rows(qvec) or k == 0:
         normed = records.select("id", scores.norm(F.map_values("tfidf")).alias("norm"), "tfidf")
         rows = normed.select("id", "norm", F.explode_outer("tfidf").alias("term", "w")).where(F.col("term").isNotNull())
-        return search(rows, records, queries, k, tokenizer, digits)
+        return search(rows, records if docs is None else docs, queries, k, tokenizer, digits)
     margin = 1e-12 if digits is None else 10.0**-digits
     found = best_in_rows(records, qvec, k, margin)
     if digits is not None:
         found = found.withColumn("score", F.round("score", digits))
     few = is_small(queries.select("qid"), max_rows=BROADCAST_MAX_ROWS // max(k, 1))
-    hits = attach_meta(search_topk(found, k).select("qid", "rank", "score", "id"), records, few)
+    hits = attach_meta(search_topk(found, k).select("qid", "rank", "score", "id"), records if docs is None else docs, few)
     return hits.select("qid", "rank", "score", "id", "url", "title")

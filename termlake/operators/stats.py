@@ -17,6 +17,12 @@ def vocab_size(vecs: DataFrame) -> DataFrame:
     return docs.select("n_docs", terms.scalar().alias("n_terms"))
 
 
+def index_size(bags: DataFrame, vocab: DataFrame) -> DataFrame:
+    """As :func:`vocab_size`, from the counted documents ``(id, ...)`` and their distinct terms: no weights are needed."""
+    docs = bags.select("id").distinct().agg(F.count(F.lit(1)).alias("n_docs"))
+    return docs.select("n_docs", vocab.agg(F.count(F.lit(1)).alias("n_terms")).scalar().alias("n_terms"))
+
+
 def terms_per_doc(vecs: DataFrame, id_col: str = "id") -> DataFrame:
     return vecs.select(id_col, "n_terms")
 

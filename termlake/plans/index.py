@@ -13,34 +13,63 @@ from ..functions import tokens as tk
 from ..functions import urls
 from ..operators import counts as C
 from ..operators import weights as Wt
-from ..operators.normalize import normalize_docs
+from ..operators.normalize import normalize_bags
 from ..operators.search import search_records
-from ..session import stage
+from ..session import broadcast_if_small, stage
 from ..sources import indexfiles, textfiles
 
 
 @dataclass
 class Index:
-    """Lazy parts of an index. ``counts`` and ``vocab`` are staged tables."""
+    """Lazy parts of an index. ``bags`` (one row per document) and ``vocab`` are staged tables."""
 
     docs: DataFrame
-    counts: DataFrame
+    bags: DataFrame
     vocab: DataFrame
     n_docs: int
 
-    @cached_property
-    def _weighted(self) -> DataFrame:
-        return Wt.tfidf(self.counts, self.vocab, self.n_docs)
-
     @property
+    def counts(self) -> DataFrame:
+        """``(id, total, term, cnt)``."""
+        return C.bag_counts(self.bags)
+
+    @cached_property
     def weighted(self) -> DataFrame:
         """``(id, total, term, cnt, df, n, tf, idf, w)``."""
-        return self._weighted.where(F.col("term").isNotNull())
+        return Wt.tfidf(self.counts, self.vocab, self.n_docs).where(F.col("term").isNotNull())
+
+    @cached_property
+    def repeated(self) -> DataFrame | None:
+        """Ids of more than one row; None when there are none."""
+        again = self.bags.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+        again = stage(again.select(F.col("id").alias("_id")), "repeated")
+        return None if again.isEmpty() else again
+
+    def _by_repetition(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows of ids that come once, and of those that come again."""
+        again, same = broadcast_if_small(self.repeated), F.col("id").eqNullSafe(F.col("_id"))
+        return rows.join(again, same, "left_anti"), rows.join(again, same, "left_semi")
+
+    def _whole(self, rows: DataFrame, column: str) -> DataFrame:
+        """``(id, column)``, one row per id: the arrays of its rows in one, sorted."""
+        if self.repeated is None:
+            return rows.select("id", column)
+        once, again = self._by_repetition(rows.select("id", column))
+        return once.unionByName(again.groupBy("id").agg(F.sort_array(F.flatten(F.collect_list(column))).alias(column)))
+
+    @cached_property
+    def _weighed(self) -> DataFrame:
+        return Wt.weigh_bags(self.bags, self.vocab, self.n_docs)
 
     @property
     def vectors(self) -> DataFrame:
         """``(id, n_terms, norm, tfidf)``; empty documents included."""
-        return Wt.vectors(self._weighted)
+        return Wt.sized(self._whole(self._weighed, "tfidf"))
+
+    @property
+    def term_lists(self) -> DataFrame:
+        """``(id, terms)``; empty documents included."""
+        return self._whole(self.bags.select("id", F.col("bag.term").alias("terms")), "terms")
 
     @property
     def postings(self) -> DataFrame:
@@ -48,8 +77,32 @@ class Index:
 
     @property
     def records(self) -> DataFrame:
-        """``(id, url, title, tfidf MAP)``."""
-        return indexfiles.index_records(self.vectors, self.docs)
+        """``(id, url, title, tfidf MAP)``, one row per row of ``docs``.
+
+        All rows of an id have one vector, that of their texts together.
+        """
+        if self.repeated is not None:
+            return self._merged.records
+        if "url" not in self.bags.columns:
+            return indexfiles.index_records(self.vectors, self.docs)
+        return indexfiles.bag_records(self._weighed)
+
+    @property
+    def keyed(self) -> DataFrame:
+        """``records`` with one row per id."""
+        if self.repeated is None:
+            return self.records
+        meta = F.struct("url", "title")
+        one = self.docs.groupBy("id").agg(F.min(meta).alias("_m")).select("id", "_m.*")
+        return indexfiles.index_records(self._merged.vectors, one)
+
+    @cached_property
+    def _merged(self) -> Index:
+        """The same index with one bag per id."""
+        once, again = self._by_repetition(self.bags.select("id", "total", "bag"))
+        merged = index_bags(self.docs, once.unionByName(C.merged_bags(again)), self.n_docs)
+        merged.__dict__["repeated"] = None
+        return merged
 
 
 def document_ids(pages: DataFrame, *keep: str) -> DataFrame:
@@ -58,13 +111,14 @@ def document_ids(pages: DataFrame, *keep: str) -> DataFrame:
     return pages.select(urls.doc_id(F.col("url")).alias("id"), "url", *blank, *keep)
 
 
-def index_counts(docs: DataFrame, counts: DataFrame, n_docs: int) -> Index:
-    """Index from ``counts(id, total, term, cnt)``.
+def index_bags(docs: DataFrame, bags: DataFrame, n_docs: int) -> Index:
+    """Index from ``bags(id, total, bag)`` and, where ``docs`` has the same rows, ``url`` and ``title``.
 
-    The counts are staged once; the vocabulary then reads one column of them.
+    The bags are staged once; the vocabulary then reads one column of them.
     """
-    counts = stage(counts, "counts")
-    return Index(docs, counts, stage(C.doc_freq(counts), "vocab"), n_docs)
+    bags = stage(bags.withColumn("_row", F.monotonically_increasing_id()), "bags")
+    vocab = C.doc_freq(bags.select(F.explode_outer("bag.term").alias("term")))
+    return Index(docs, bags, stage(vocab, "vocab"), n_docs)
 
 
 def index_docs(
@@ -81,8 +135,7 @@ def index_docs(
     n_docs = max(1, docs.count())
     if not unique_ids:
         docs = stage(C.unique_docs(docs, order), "unique_docs")
-    counts = C.term_counts(docs, tokenizer, keep_empty=True)
-    return index_counts(docs.drop("text"), counts, n_docs)
+    return index_bags(docs.drop("text"), C.term_bags(docs, tokenizer, keep=("url", "title")), n_docs)
 
 
 def write_all(index: Index, docs: DataFrame, out_dir: str) -> None:
@@ -90,7 +143,7 @@ def write_all(index: Index, docs: DataFrame, out_dir: str) -> None:
     ``postings`` (Parquet) below ``out_dir``. The weights are computed once: the
     last three follow from the keyed table."""
     indexfiles.write_docs(docs, f"{out_dir}/docs")
-    records = index.records
+    records = index.keyed
     indexfiles.write_index_keyed(records, f"{out_dir}/tfidf_keyed")
     keyed = docs.sparkSession.read.schema(records.schema).parquet(f"{out_dir}/tfidf_keyed")
     indexfiles.write_index(keyed, f"{out_dir}/tfidf_index")
@@ -124,9 +177,10 @@ def build_index_files(
 ) -> Index:
     """Index of text files with normalized terms; ``docs`` is ``(id, url, title, path)`` with the path as URL."""
     docs = textfiles.read_text_docs(manifest, root)
-    counts = normalize_docs(docs, stopwords, lemmas, min_len)
+    docs = docs.select("id", F.col("path").alias("url"), F.lit("").alias("title"), "text")
+    bags = normalize_bags(docs, stopwords, lemmas, min_len, keep=("url", "title"))
     listed = manifest.select("id", F.col("path").alias("url"), F.lit("").alias("title"), "path")
-    return index_counts(listed, counts, max(1, manifest.count()))
+    return index_bags(listed, bags, max(1, manifest.count()))
 
 
 def search_index(

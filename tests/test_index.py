@@ -330,3 +330,28 @@ def test_large_manifests_are_not_broadcast(spark, tmp_path, monkeypatch):
     assert {(r["id"], r["text"]) for r in textfiles.read_text_docs(manifest, str(tmp_path)).collect()} == want
     monkeypatch.setattr(textfiles, "is_small", lambda df: False)
     assert {(r["id"], r["text"]) for r in textfiles.read_text_docs(manifest, str(tmp_path)).collect()} == want
+
+
+def test_pages_with_one_url_are_one_document(spark, tmp_path):
+    rows = [("u", "A", "red fox"), ("u", "B", "red hen hen"), ("v", "C", "fox")]
+    pages = spark.createDataFrame(rows, "url string, title string, text string")
+    out = str(tmp_path / "out")
+    ix = index.build_index(pages, out, unique_ids=True)
+    assert spark.read.parquet(f"{out}/tfidf_keyed").count() == 2
+    weigh = {"red": 2 / 5 * math.log(1 + 3), "fox": 1 / 5 * math.log(1 + 3 / 2), "hen": 2 / 5 * math.log(1 + 3)}
+    queries = spark.createDataFrame([(1, "hen fox")], "qid long, query string")
+    hits = search.search_records(spark.read.schema(ix.records.schema).parquet(f"{out}/tfidf_keyed"), queries, docs=ix.docs).collect()
+    assert sorted((h["rank"], h["url"], h["title"]) for h in hits) == [(1, "u", "A"), (1, "u", "B"), (2, "v", "C")]
+    want = (weigh["hen"] + weigh["fox"]) / math.hypot(*weigh.values()) / math.sqrt(2)
+    assert {h["score"] for h in hits if h["url"] == "u"} == {pytest.approx(want)}
+
+
+@pytest.mark.parametrize("rows", [1_000_000, 25, 3, 0])
+def test_vectors_need_no_shuffle_of_all_postings(spark, monkeypatch, rows):
+    docs = random_docs(60, seed=4) + [("x", "u", "t", "lone wolf"), ("y", "u", "t", "pair pair"), ("z", "u", "t", "pair")]
+    monkeypatch.setattr(keys, "BROADCAST_MAX_ROWS", rows)
+    ix = index.index_docs(spark.createDataFrame(docs, DOCS), unique_ids=True)
+    close(collected(ix.vectors), plain_index(docs))
+    plan = ix.records._jdf.queryExecution().executedPlan().toString()
+    assert ("Exchange" in plan) == (rows < 1000)
+    assert {r["id"]: set(r["tfidf"]) for r in ix.records.collect()} == {i: set(v) for i, v in plain_index(docs).items()}
