@@ -12,16 +12,23 @@ from __future__ import annotations
 
 import sys
 from collections import Counter
+from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import urls
 
+KINDS = {"text": "string", "title": "string", "links": "array<string>"}
+# Pages that the parser takes from a batch at a time.
+SLICE_ROWS = 128
+
 # What Python's \s matches, written as a Java character class.
 WHITESPACE = r"[\s\x1c-\x1f\x{85}\p{Z}]"
 
@@ -196,8 +203,24 @@ def parse_pages(url: Column, html: Column, want: tuple[str, ...] = ("text", "tit
         rows = [(None,) * len(want) if h is None else read_page(u or "", h, want) for u, h in zip(url, html)]
         return pd.DataFrame(rows, columns=list(want))
 
-    kinds = {"text": "string", "title": "string", "links": "array<string>"}
-    return F.pandas_udf(batch, f"struct<{','.join(f'{w}:{kinds[w]}' for w in want)}>")(url, html)
+    return F.pandas_udf(batch, f"struct<{','.join(f'{w}:{KINDS[w]}' for w in want)}>")(url, html)
+
+
+def _parse_batches(n_kept: int, names: list[str], want: tuple[str, ...]):
+    """Pages ``(*kept, url, html)`` to ``(*kept, *want)``, a few at a time: what a worker
+    holds beside Spark's batch doesn't grow with the batch."""
+    kinds = [pa.list_(pa.string()) if w == "links" else pa.string() for w in want]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                pages = zip(part.column(n_kept).to_pylist(), part.column(n_kept + 1).to_pylist())
+                rows = [(None,) * len(want) if h is None else read_page(u or "", h, want) for u, h in pages]
+                read = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays(part.columns[:n_kept] + read, names=names)
+
+    return run
 
 
 # Executors need not have this package installed: ship the reader with the task.
@@ -219,8 +242,10 @@ def extract(
     url, html = F.col(url_col), F.col(html_col)
     kept = [c for c in pages.columns if c != html_col]
     if parser == "html":
-        parsed = pages.withColumn("_page", parse_pages(url, html, want))
-        return parsed.select(*kept, *[F.col(f"_page.{w}").alias(w) for w in want])
+        fields = [T.StructField(c, pages.schema[c].dataType) for c in kept]
+        fields += [T.StructField(w, T._parse_datatype_string(KINDS[w])) for w in want]
+        whole = pages.select(*kept, url.alias("_url"), html.alias("_html"))
+        return whole.mapInArrow(_parse_batches(len(kept), kept + list(want), tuple(want)), T.StructType(fields))
     # A projection of its own: each field below reads the cleaned page.
     shown = pages.withColumn("_shown", drop_hidden(html))
     native = {

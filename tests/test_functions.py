@@ -159,3 +159,13 @@ def test_only_wanted_fields_are_read(spark):
     rows = html.extract(pages, want=("title",)).collect()
     assert [(r["url"], r["title"]) for r in rows] == [("http://a.org/", "T"), ("u", None)]
     assert html.read_page("http://a.org/", "<a href='/x'>y</a>", ("links", "text")) == (["http://a.org/x"], "y")
+
+
+def test_pages_are_parsed_a_few_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(html, "SLICE_ROWS", 7)
+    rows = [(i, f"https://a.org/{i}", None if i % 5 == 0 else f'<title>t{i}</title><a href="/{i}">x{i}</a>') for i in range(30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    sizes = [b.num_rows for b in html._parse_batches(1, ["page_id", "text"], ("text",))(iter([pages.toArrow().to_batches()[0]]))]
+    assert sizes == [7, 7, 7, 7, 2]
+    got = {r["page_id"]: (r["title"], r["text"], r["links"]) for r in html.extract(pages).collect()}
+    assert got[1] == ("t1", "t1 x1", ["https://a.org/1"]) and got[5] == (None, None, None) and len(got) == 30
