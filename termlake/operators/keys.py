@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, stage
+from ..session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, broadcast_if_small, stage
 
 # At most this many keys can each hold 1/HOT_KEYS of the rows.
 HOT_KEYS = 10_000
@@ -111,5 +111,7 @@ def ranked(df: DataFrame, by: list[str], order: list[str], rank: str = "rank") -
     """
     blocks = range_blocks(df, by, order, "ranked")
     local = blocks.withColumn("_local", F.row_number().over(W.partitionBy(*by, "_block").orderBy(*order)))
-    joined = local.join(block_offsets(blocks, by).drop("_n"), [*by, "_block"])
+    # Staged and measured, so that the rows are not shuffled to meet their block.
+    offsets = stage(block_offsets(blocks, by).drop("_n"), "offsets")
+    joined = local.join(broadcast_if_small(offsets), [*by, "_block"])
     return joined.withColumn(rank, F.col("_before") + F.col("_local")).select(*df.columns, rank)

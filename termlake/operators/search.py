@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores
 from ..functions import tokens as tk
-from ..session import BROADCAST_MAX_ROWS, is_small, measure
+from ..session import BROADCAST_MAX_ROWS, is_small, measure, stage
 from .keys import ranked, top_k
 
 # Fixed value: beyond this many values Parquet only sees the range of an IN list.
@@ -180,28 +180,13 @@ def query_table(qvec: DataFrame) -> tuple[pa.Array, pa.Array, np.ndarray, np.nda
     return names, pa.array(terms, pa.string()), counts, starts, q_of, w_of
 
 
-def best_in_rows(records: DataFrame, qvec: DataFrame, k: int, margin: float) -> DataFrame:
-    """``(qid, id, score)``: each task's best ``k`` documents per query, with positive scores.
-
-    A document is one row of ``records(id, tfidf)``, so its terms are looked up
-    in the batch there and no (query, document) pair is shuffled before it was
-    found to be among a task's best. Pairs within ``margin`` of the k-th stay,
-    so rounding and ties are decided by the caller.
-    """
+def row_scores(qvec: DataFrame) -> tuple[pa.Array, Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """The ids of a small batch, and a function from a slice of documents ``(id, terms,
+    weights, norm)`` to document, query and score of the pairs with positive scores."""
     names, vocab, counts, starts, q_of, w_of = query_table(qvec)
-    names = names.to_pylist()
-    kinds = {f.name: f.dataType.simpleString() for f in records.schema.fields} | {f.name: f.dataType.simpleString() for f in qvec.schema.fields}
-    held_pairs = HELD_PAIRS
     width = max(1, len(names))
 
-    def best(query: np.ndarray, value: np.ndarray) -> np.ndarray:
-        order = np.lexsort((-value, query))
-        starts_ = np.flatnonzero(np.r_[True, query[order][1:] != query[order][:-1]])
-        sizes = np.diff(np.r_[starts_, len(order)])
-        kth = value[order][starts_ + np.minimum(sizes, k) - 1]
-        return order[value[order] >= np.repeat(kth, sizes) - margin]
-
-    def scored(part: pa.RecordBatch) -> tuple[list, np.ndarray, np.ndarray]:
+    def scored(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sparse sums of one slice: only the coordinates that some query holds leave Arrow."""
         keys_, weights_ = part.column(1), part.column(2)
         flat = pc.list_flatten(keys_)
@@ -212,7 +197,7 @@ def best_in_rows(records: DataFrame, qvec: DataFrame, k: int, margin: float) ->
         w = pc.list_flatten(weights_).filter(hit).to_numpy(zero_copy_only=False).astype(np.float64)
         norms = part.column(3).to_numpy(zero_copy_only=False)
         if owner.size == 0:
-            return [], np.zeros(0, np.int64), np.zeros(0)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         reps = counts[term]
         pos = np.repeat(starts[term] - np.cumsum(np.r_[0, reps[:-1]]), reps) + np.arange(reps.sum())
         doc = np.repeat(owner, reps)
@@ -227,8 +212,73 @@ def best_in_rows(records: DataFrame, qvec: DataFrame, k: int, margin: float) ->
         doc, query = pair // width, pair % width
         norm = norms[doc]
         ok = (norm > 0) & (dots > 0)
-        ids = part.column(0).to_pylist()
-        return [ids[i] for i in doc[ok].tolist()], query[ok], dots[ok] / norm[ok]
+        return doc[ok], query[ok], dots[ok] / norm[ok]
+
+    return names, scored
+
+
+def _columns(records: DataFrame, *keep: str) -> DataFrame:
+    """What :func:`row_scores` reads. The norm is computed in the JVM over all terms; Python sees only the matching ones."""
+    weights = F.map_values("tfidf")
+    return records.select("id", F.map_keys("tfidf").alias("terms"), weights.alias("weights"), scores.norm(weights).alias("norm"), *keep)
+
+
+def hits_in_rows(records: DataFrame, qvec: DataFrame) -> DataFrame:
+    """``(qid, id, score, url, title)``: every hit of a small batch, from the documents' rows without a shuffle."""
+    names, scored = row_scores(qvec)
+    kinds = {f.name: f.dataType.simpleString() for f in [*records.schema.fields, *qvec.schema.fields]}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                doc, query, value = scored(part)
+                at = pa.array(doc)
+                found = [names.take(pa.array(query)), part.column(0).take(at), pa.array(value)]
+                yield pa.RecordBatch.from_arrays(
+                    found + [part.column(i).take(at) for i in (4, 5)], names=["qid", "id", "score", "url", "title"]
+                )
+
+    schema = f"qid {kinds['qid']}, id {kinds['id']}, score double, url {kinds['url']}, title {kinds['title']}"
+    return _columns(records, "url", "title").mapInArrow(run, schema)
+
+
+def search_all(records: DataFrame, queries: DataFrame, tokenizer: Callable[[Column], Column] = tk.tokenize_word, digits: int | None = None) -> DataFrame:
+    """Every hit ``(qid, rank, score, id, url, title)`` over index records of unique ids.
+
+    The hits are staged with their URLs and titles: ranking is then the only shuffle.
+    """
+    qvec = query_vector(queries, tokenizer)
+    if not fits_rows(qvec):
+        normed = records.select("id", scores.norm(F.map_values("tfidf")).alias("norm"), "tfidf")
+        rows = normed.select("id", "norm", F.explode_outer("tfidf").alias("term", "w")).where(F.col("term").isNotNull())
+        return search(rows, records, queries, None, tokenizer, digits)
+    found = hits_in_rows(records, qvec)
+    if digits is not None:
+        found = found.withColumn("score", F.round("score", digits))
+    hits = ranked(stage(found.withColumn("_s", -F.col("score")), "hits"), ["qid"], ["_s", "id"])
+    return hits.select("qid", "rank", "score", "id", "url", "title")
+
+
+def best_in_rows(records: DataFrame, qvec: DataFrame, k: int, margin: float) -> DataFrame:
+    """``(qid, id, score)``: each task's best ``k`` documents per query, with positive scores.
+
+    A document is one row of ``records(id, tfidf)``, so its terms are looked up
+    in the batch there and no (query, document) pair is shuffled before it was
+    found to be among a task's best. Pairs within ``margin`` of the k-th stay,
+    so rounding and ties are decided by the caller.
+    """
+    names, scored = row_scores(qvec)
+    names = names.to_pylist()
+    kinds = {f.name: f.dataType.simpleString() for f in records.schema.fields} | {f.name: f.dataType.simpleString() for f in qvec.schema.fields}
+    held_pairs = HELD_PAIRS
+
+    def best(query: np.ndarray, value: np.ndarray) -> np.ndarray:
+        order = np.lexsort((-value, query))
+        starts_ = np.flatnonzero(np.r_[True, query[order][1:] != query[order][:-1]])
+        sizes = np.diff(np.r_[starts_, len(order)])
+        kth = value[order][starts_ + np.minimum(sizes, k) - 1]
+        return order[value[order] >= np.repeat(kth, sizes) - margin]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, query, value = [], [], []
@@ -241,9 +291,11 @@ def best_in_rows(records: DataFrame, qvec: DataFrame, k: int, margin: float) ->
 
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
-                got_ids, got_q, got_v = scored(batch.slice(start, SLICE_ROWS))
-                if not got_ids:
+                part = batch.slice(start, SLICE_ROWS)
+                doc, got_q, got_v = scored(part)
+                if not len(doc):
                     continue
+                got_ids = part.column(0).take(pa.array(doc)).to_pylist()
                 ids += got_ids
                 query.append(got_q)
                 value.append(got_v)
@@ -255,11 +307,7 @@ def best_in_rows(records: DataFrame, qvec: DataFrame, k: int, margin: float) ->
             ids, q, v = pruned()
             yield pa.RecordBatch.from_pydict({"qid": [names[i] for i in q.tolist()], "id": ids, "score": v})
 
-    # The norm is computed in the JVM over all terms; Python sees only the matching ones.
-    columns = records.select(
-        "id", F.map_keys("tfidf").alias("terms"), F.map_values("tfidf").alias("weights"), scores.norm(F.map_values("tfidf")).alias("norm")
-    )
-    return columns.mapInArrow(run, f"qid {kinds['qid']}, id {kinds['id']}, score double")
+    return _columns(records).mapInArrow(run, f"qid {kinds['qid']}, id {kinds['id']}, score double")
 
 
 def search_records(

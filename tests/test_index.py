@@ -341,7 +341,7 @@ def test_pages_with_one_url_are_one_document(spark, tmp_path):
     weigh = {"red": 2 / 5 * math.log(1 + 3), "fox": 1 / 5 * math.log(1 + 3 / 2), "hen": 2 / 5 * math.log(1 + 3)}
     queries = spark.createDataFrame([(1, "hen fox")], "qid long, query string")
     hits = search.search_records(spark.read.schema(ix.records.schema).parquet(f"{out}/tfidf_keyed"), queries, docs=ix.docs).collect()
-    assert sorted((h["rank"], h["url"], h["title"]) for h in hits) == [(1, "u", "A"), (1, "u", "B"), (2, "v", "C")]
+    assert sorted((h["rank"], h["url"], h["title"]) for h in hits) == [(1, "v", "C"), (2, "u", "A"), (2, "u", "B")]
     want = (weigh["hen"] + weigh["fox"]) / math.hypot(*weigh.values()) / math.sqrt(2)
     assert {h["score"] for h in hits if h["url"] == "u"} == {pytest.approx(want)}
 
@@ -355,3 +355,22 @@ def test_vectors_need_no_shuffle_of_all_postings(spark, monkeypatch, rows):
     plan = ix.records._jdf.queryExecution().executedPlan().toString()
     assert ("Exchange" in plan) == (rows < 1000)
     assert {r["id"]: set(r["tfidf"]) for r in ix.records.collect()} == {i: set(v) for i, v in plain_index(docs).items()}
+
+
+def test_every_hit_is_ranked_with_one_shuffle_of_the_hits(spark):
+    docs = random_docs(50, seed=9)
+    ix = index.index_docs(spark.createDataFrame(docs, DOCS), unique_ids=True)
+    queries = spark.createDataFrame(list(enumerate(["wa wbb wbb", "all", "", "nothing", "all wdd"])), "qid long, query string")
+    want = sorted(map(tuple, search.search(ix.postings, ix.docs, queries, k=None, digits=6).collect()))
+    assert sorted(map(tuple, search.search_all(ix.records, queries, digits=6).collect())) == want and want
+    plan = search.hits_in_rows(ix.records, search.query_vector(queries))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_shared_terms_are_found_in_the_rows(spark):
+    docs = random_docs(50, seed=9)
+    ix = index.index_docs(spark.createDataFrame(docs + docs[:2], DOCS), unique_ids=True)
+    qvec = search.query_vector(spark.createDataFrame([(1, "wa wbb all"), (2, ""), (3, "nothing"), (4, "wdd wa")], "qid long, query string"))
+    want = sorted(map(tuple, search.overlap_terms(search.postings_match(ix.postings, qvec)).collect()))
+    got = search.overlap_in_rows(ix.term_lists, qvec)
+    assert sorted(map(tuple, got.collect())) == want and want
