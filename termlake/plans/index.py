@@ -87,6 +87,13 @@ class Index:
             return indexfiles.index_records(self.vectors, self.docs)
         return indexfiles.bag_records(self._weighed)
 
+    @property
+    def plain_records(self) -> DataFrame | None:
+        """``records`` with titles as they are; None unless each id has one row of its own URL and title."""
+        if self.repeated is not None or "url" not in self.bags.columns:
+            return None
+        return indexfiles.bag_records(self._weighed, blank=False)
+
     @property
     def keyed(self) -> DataFrame:
         """``records`` with one row per id."""

@@ -26,10 +26,14 @@ def index_records(vecs: DataFrame, docs: DataFrame) -> DataFrame:
     return joined.select("id", "url", "title", as_map.alias("tfidf"))
 
 
-def bag_records(weighed: DataFrame) -> DataFrame:
-    """``(id, url, title, tfidf MAP)`` from rows ``(id, url, title, tfidf)``; a null id has no vector."""
+def bag_records(weighed: DataFrame, blank: bool = True) -> DataFrame:
+    """``(id, url, title, tfidf MAP)`` from rows ``(id, url, title, tfidf)``; a null id has no vector.
+
+    ``blank`` makes null titles empty.
+    """
+    title = F.coalesce("title", F.lit("")).alias("title") if blank else "title"
     as_map = F.when(F.col("id").isNotNull(), F.map_from_entries("tfidf")).otherwise(F.create_map().cast(VECTOR))
-    return weighed.select("id", "url", F.coalesce("title", F.lit("")).alias("title"), as_map.alias("tfidf"))
+    return weighed.select("id", "url", title, as_map.alias("tfidf"))
 
 
 def record_postings(records: DataFrame) -> DataFrame:
