@@ -181,9 +181,13 @@ def build_index_files(
     stopwords: DataFrame | Iterable[str] = (),
     lemmas: DataFrame | None = None,
     min_len: int = 2,
+    packed: bool = False,
 ) -> Index:
-    """Index of text files with normalized terms; ``docs`` is ``(id, url, title, path)`` with the path as URL."""
-    docs = textfiles.read_text_docs(manifest, root)
+    """Index of text files with normalized terms; ``docs`` is ``(id, url, title, path)`` with the path as URL.
+
+    ``packed``: the files were written by :func:`textfiles.write_packed`.
+    """
+    docs = textfiles.read_text_docs(manifest, root, packed)
     docs = docs.select("id", F.col("path").alias("url"), F.lit("").alias("title"), "text")
     bags = normalize_bags(docs, stopwords, lemmas, min_len, keep=("url", "title"))
     listed = manifest.select("id", F.col("path").alias("url"), F.lit("").alias("title"), "path")

@@ -374,3 +374,18 @@ def test_shared_terms_are_found_in_the_rows(spark):
     want = sorted(map(tuple, search.overlap_terms(search.postings_match(ix.postings, qvec)).collect()))
     got = search.overlap_in_rows(ix.term_lists, qvec)
     assert sorted(map(tuple, got.collect())) == want and want
+
+
+def test_text_files_of_pages_are_packed(spark, tmp_path):
+    from catalog import queries as Q
+
+    rows = [(i, f"u{i}", f"cats {i}\r\nrun") for i in range(60)] + [(7, "u", "again"), (60, "v", None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    manifest, root = Q.text_files(spark, str(tmp_path))
+    # A file or folder for each page would make the work grow with their number.
+    parts = [f for d, _, names in os.walk(root.removeprefix("file:")) for f in names if f.startswith("part-")]
+    assert 0 < len(parts) < 30
+    got = sorted((r["id"], r["text"]) for r in textfiles.read_text_docs(manifest, root, packed=True).collect())
+    text = {str(i): f"cats {i}\nrun\n" for i in range(60)} | {"7": "cats 7\nrun\nagain\n", "60": "\n"}
+    missing = [(f"none-{i}", "") for i, _, _ in rows]
+    assert got == sorted([*text.items(), *missing])
