@@ -23,23 +23,37 @@ CALIBRATION = 40  # halvings of the interval of the factor
 # Cells are keys, not documents; a table measured to be smaller is one batch on the driver.
 LOCAL_CELLS = 100_000
 TOKEN = r"[^ \t\n\x0B\f\r]+"
+SPACE = r"[ \t\n\x0B\f\r]+"
 
 
-def token_count(text: Column) -> Column:
-    """Words of a text: runs of anything but ASCII white space; null and empty: 0."""
-    clean = F.trim(F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     "))
-    return F.when(clean == "", F.lit(0)).otherwise(F.size(F.split(clean, " +"))).cast("bigint")
+def _words(text: Column) -> Column:
+    """Runs between ASCII white space, perhaps an empty one at either end; null and empty: one empty word."""
+    return F.split(F.coalesce(text, F.lit("")), SPACE)
 
 
-def topic_of(text: Column) -> Column:
+def _count(words: Column) -> Column:
+    """Words that are not empty."""
+    return F.size(F.filter(words, lambda w: w != "")).cast("bigint")
+
+
+def _topic(words: Column) -> Column:
     """Topic number of a text, from the longest of its words (of equal ones the last in order).
 
     A stand-in for a topic model, computed in the row: the rarest kind of word is
     the longest, so copies and near copies mostly share a topic.
     """
-    words = F.split(F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     "), " ")
     top = F.array_max(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    return F.pmod(F.conv(F.substring(F.md5(F.coalesce(top, F.lit("")).cast("binary")), 1, 8), 16, 10).cast("bigint"), F.lit(TOPICS)).cast("int")
+    return F.pmod(F.conv(F.substring(F.md5(top.cast("binary")), 1, 8), 16, 10).cast("bigint"), F.lit(TOPICS)).cast("int")
+
+
+def token_count(text: Column) -> Column:
+    """Words of a text: runs of anything but ASCII white space; null and empty: 0."""
+    return _count(_words(text))
+
+
+def topic_of(text: Column) -> Column:
+    """As ``_topic``, from the text."""
+    return _topic(_words(text))
 
 
 def uniform(key: Column, seed: int) -> Column:
@@ -49,8 +63,13 @@ def uniform(key: Column, seed: int) -> Column:
 
 
 def prepare(docs: DataFrame, topic: Column | None = None) -> DataFrame:
-    """``docs`` with ``_topic`` and ``_tokens``."""
-    return docs.withColumns({"_topic": topic if topic is not None else topic_of(F.col("text")), "_tokens": token_count(F.col("text"))})
+    """``docs`` with ``_topic`` and ``_tokens``.
+
+    The words are a column of their own, so a text is split once for both.
+    """
+    split = docs.withColumn("_words", _words(F.col("text")))
+    words = F.col("_words")
+    return split.withColumns({"_topic": topic if topic is not None else _topic(words), "_tokens": _count(words)}).drop("_words")
 
 
 def cells(docs: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ STEP = 16  # MinHash values compared at a time
 VALUES = ROWS * BANDS
 BLOCK_SETS = 256
 BLOCK_SHINGLES = 1 << 19
-CACHED_WORDS = 600_000
+CACHED_WORDS = 150_000
 
 WORD = re.compile(r"\w+")
 _RNG = np.random.default_rng(17)

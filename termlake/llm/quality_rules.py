@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small, stage
-from .batches import text_struct
+from .batches import bound_batches, text_struct
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks")
 # Statistics of the vector, and the standard deviation below which a spread isn't told from none.
@@ -87,7 +87,7 @@ def counts(text: str) -> tuple[int, ...]:
 
 def with_counts(docs: DataFrame, column: str = "_counts") -> DataFrame:
     """``docs`` with a struct of ``COUNTS`` of each whole text (null text: as empty)."""
-    return docs.withColumn(column, text_struct(F.col("text"), ", ".join(f"{c} bigint" for c in COUNTS), lambda: counts))
+    return bound_batches(docs).withColumn(column, text_struct(F.col("text"), ", ".join(f"{c} bigint" for c in COUNTS), lambda: counts))
 
 
 def base_failed(c: Column) -> Column:

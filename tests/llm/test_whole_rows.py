@@ -38,3 +38,12 @@ def test_other_texts_of_an_id_stay(scratch):
     assert texts[1:] == sorted((r[0], r[1]) for r in rows[:12])
     assert texts[0][0] == -1 and texts[0][1] in (prose(200, 90), prose(200, 90) + " end")
     assert [r["source"] for r in kept if r["text"] == prose(40, 90)] == ["a"]
+
+
+def test_long_texts_come_in_small_batches(scratch):
+    from termlake.llm import batches
+
+    df = scratch.range(48).coalesce(1).selectExpr("repeat(cast(id as string), 400000) AS text")
+    rows = batches.map_rows(df, "size bigint", lambda: lambda batch: [(batch.nbytes,)])
+    # 48 texts of 0.4 MB or more were one batch.
+    assert max(r["size"] for r in rows.collect()) < 2 * batches.BATCH_BYTES
