@@ -2,7 +2,8 @@
 
 A document's impact vector holds, for each of its terms,
 ``(10^9 tf) div (1000 tf + 12 m)`` with ``m = 75 + (25 n N) div L``; it is built in
-the document's row and never regrouped. A query's vector holds ``c * w`` for a
+the document's row and never regrouped. Its norm is that of all its terms, but only
+the terms of some query are written, for no other can add to a score. A query's vector holds ``c * w`` for a
 term seen c times, ``w = floor(1000 ln((2N + 2) / (2 df + 1)))``. A score is the
 integer inner product of the two.
 
@@ -30,7 +31,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.tokens import count_tokens
-from ..session import stage
+from ..session import is_small, stage
+from .batches import bound_batches
 
 # Fixed values of the contract: a term is a maximal run outside these ASCII ranges.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -43,6 +45,8 @@ SEED_DOCS = 256
 SLICE = 256
 # Queries handed to the tasks at a time (their terms and weights go with the plan).
 QUERY_BLOCK = 1024
+# Most terms of queries that are broadcast, so that only these are written for each document.
+WANTED = 200_000
 # Relative slack on floating bounds, so that no exact integer score is pruned.
 SLACK = 1e-9
 
@@ -52,42 +56,66 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(TERM), 0)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(doc_id, n, terms, cnts)`` of each lower-cased text, in Arrow kernels and numpy, slices of rows.
+def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
+
+
+def _count(wanted):
+    """``(doc_id, n, freqs, terms, cnts)`` of each text, in Arrow kernels and numpy, slices of rows.
 
     Texts are split on maximal runs of the excluded ASCII ranges, so the pieces
-    left are the terms; (row, term) pairs are counted by one sort of codes.
+    left are the terms; (row, term) pairs are counted by one sort of codes. ``freqs`` says
+    how many terms occur how often, which is all that the norm needs. With ``wanted``, a
+    broadcast of terms, only these are listed.
     """
-    for batch in batches:
-        for start in range(0, batch.num_rows, SLICE):
-            part = batch.slice(start, SLICE)
-            pieces = pc.split_pattern_regex(pc.fill_null(part.column("t"), ""), pattern=SEPARATOR)
-            flat = pc.list_flatten(pieces)
-            owner = pc.list_parent_indices(pieces)
-            keep = pc.greater(pc.binary_length(flat), 0)
-            flat, owner = flat.filter(keep), owner.filter(keep).to_numpy().astype(np.int64)
-            coded = pc.dictionary_encode(flat)
-            words = coded.dictionary
-            pair = owner * max(1, len(words)) + coded.indices.to_numpy().astype(np.int64)
-            unique, cnts = np.unique(pair, return_counts=True)
-            rows = unique // max(1, len(words))
-            offsets = np.searchsorted(rows, np.arange(part.num_rows + 1)).astype(np.int32)
-            terms_ = pa.ListArray.from_arrays(pa.array(offsets), words.take(pa.array(unique % max(1, len(words)))))
-            counts = pa.ListArray.from_arrays(pa.array(offsets), pa.array(cnts.astype(np.int64)))
-            n = np.bincount(owner, minlength=part.num_rows).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), terms_, counts], names=["doc_id", "n", "terms", "cnts"])
-
-
-def impact_index(documents: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, int, int]:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                low = pc.ascii_lower(pc.fill_null(part.column("t"), ""))
+                pieces = pc.split_pattern_regex(low, pattern=SEPARATOR)
+                flat = pc.list_flatten(pieces)
+                owner = pc.list_parent_indices(pieces)
+                keep = pc.greater(pc.binary_length(flat), 0)
+                flat, owner = flat.filter(keep), owner.filter(keep).to_numpy().astype(np.int64)
+                coded = pc.dictionary_encode(flat)
+                words = coded.dictionary
+                pair = owner * max(1, len(words)) + coded.indices.to_numpy().astype(np.int64)
+                unique, cnts = np.unique(pair, return_counts=True)
+                rows, word = unique // max(1, len(words)), unique % max(1, len(words))
+                ends = np.arange(part.num_rows + 1)
+                span = int(cnts.max(initial=0)) + 1
+                code, times = np.unique(rows * span + cnts, return_counts=True)
+                pairs = pa.StructArray.from_arrays([pa.array((code % span).astype(np.int64)), pa.array(times.astype(np.int64))], names=["cnt", "times"])
+                freqs = _lists(np.searchsorted(code // span, ends), pairs)
+                if wanted is not None:
+                    listed = pc.is_in(words, value_set=wanted.value).to_numpy(zero_copy_only=False)[word]
+                    rows, word, cnts = rows[listed], word[listed], cnts[listed]
+                offsets = np.searchsorted(rows, ends)
+                n = np.bincount(owner, minlength=part.num_rows).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(n), freqs, _lists(offsets, words.take(pa.array(word))), _lists(offsets, pa.array(cnts.astype(np.int64)))],
+                    names=["doc_id", "n", "freqs", "terms", "cnts"],
+                )
+
+    return run
+
+
+def impact_index(documents: DataFrame, key: str = "doc_id", text: str = "text", wanted: DataFrame | None = None) -> tuple[DataFrame, int, int]:
     """``(index, N, L)``: index rows ``(doc_id, norm, terms, imps)`` of documents with terms.
 
     Every row of ``documents`` is a document, repeated rows and null ids
-    included. Terms are counted in the document's row; the index is written
-    once to the shared folder.
+    included. Terms are counted in the document's row; the counts are written
+    once to the shared folder. ``wanted``, a table of distinct terms, is for searches that know
+    theirs: the norm and L are still those of all terms, but only the wanted ones are written and listed, if
+    they are few enough for a broadcast.
     """
-    low = F.translate(F.col(text).cast("string"), UPPER, LOWER)
-    texts = documents.select(F.col(key).cast("bigint").alias("doc_id"), low.alias("t"))
-    counted = texts.mapInArrow(_count, "doc_id bigint, n bigint, terms array<string>, cnts array<bigint>")
+    texts = bound_batches(documents).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("t"))
+    shared = None
+    if wanted is not None and is_small(wanted, WANTED):
+        shared = documents.sparkSession.sparkContext.broadcast(wanted.toArrow().column(0).combine_chunks().cast(pa.string()))
+    counted = texts.mapInArrow(_count(shared), "doc_id bigint, n bigint, freqs array<struct<cnt:bigint,times:bigint>>, terms array<string>, cnts array<bigint>")
     counted = stage(counted.where(F.col("n") > 0), "lemp-counts")
     got = counted.agg(F.count(F.lit(1)).alias("N"), F.sum("n").alias("L")).first()
     big_n, big_l = int(got["N"]), int(got["L"] or 0)
@@ -95,25 +123,28 @@ def impact_index(documents: DataFrame, key: str = "doc_id", text: str = "text")
         return counted.select("doc_id", F.lit(0.0).alias("norm"), "terms", F.col("cnts").alias("imps")), 0, 0
     # Integer division of longs, as the contract has it (all terms are positive).
     counted = counted.withColumn("m", F.expr(f"75 + (25 * n * {big_n}L) div {big_l}L"))
-    imps = F.expr("transform(cnts, c -> (1000000000L * c) div (1000L * c + 12L * m))")
-    index = counted.select("doc_id", "terms", imps.alias("imps")).withColumn(
-        "norm", F.sqrt(F.aggregate("imps", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double")))
-    )
-    return stage(index.select("doc_id", "norm", "terms", "imps"), "lemp-index"), big_n, big_l
 
+    def impact(c: str) -> str:
+        return f"((1000000000L * {c}) div (1000L * {c} + 12L * m))"
 
-def query_vectors(items: DataFrame, index: DataFrame, big_n: int, key: str = "item_id", text: str = "text") -> DataFrame:
-    """``(qid, item_id, terms, qv)``: distinct (item_id, text) rows with their weighted terms.
+    square = F.expr(f"aggregate(freqs, 0D, (s, f) -> s + f.times * double({impact('f.cnt')}) * double({impact('f.cnt')}))")
+    return counted.select("doc_id", F.sqrt(square).alias("norm"), "terms", F.expr(f"transform(cnts, c -> {impact('c')})").alias("imps")), big_n, big_l
+
+
+def query_terms(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
+    """``(qid, item_id, term, cnt)`` of the distinct (item_id, text) rows, written."""
+    distinct = items.select(F.col(key).alias("item_id"), F.col(text).alias("t")).distinct()
+    distinct = distinct.withColumn("qid", F.xxhash64("item_id", "t"))
+    counted = distinct.select("qid", "item_id", F.explode(count_tokens(terms(F.col("t")))).alias("c"))
+    return stage(counted.select("qid", "item_id", F.col("c.term").alias("term"), F.col("c.cnt").alias("cnt")), "lemp-qterms")
+
+
+def query_vectors(qterms: DataFrame, index: DataFrame, big_n: int) -> DataFrame:
+    """``(qid, item_id, terms, qv)``: the queries with their weighted terms.
 
     ``df`` is counted only for the terms that some query holds: the doc terms
     are semi-joined to that set, then counted per task before the shuffle.
     """
-    distinct = items.select(F.col(key).alias("item_id"), F.col(text).alias("t")).distinct()
-    distinct = distinct.withColumn("qid", F.xxhash64("item_id", "t"))
-    qterms = distinct.select("qid", "item_id", F.explode(count_tokens(terms(F.col("t")))).alias("c")).select(
-        "qid", "item_id", F.col("c.term").alias("term"), F.col("c.cnt").alias("cnt")
-    )
-    qterms = stage(qterms, "lemp-qterms")
     wanted = qterms.select("term").distinct()
     df = index.select(F.explode("terms").alias("term")).join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weight = F.floor(F.lit(1000.0) * F.log((F.lit(2.0) * big_n + 2) / (F.lit(2.0) * F.col("df") + 1))).cast("bigint")
@@ -223,14 +254,17 @@ def search(documents: DataFrame, items: DataFrame, k: int = K, doc_key: str = "d
     """
     spark = documents.sparkSession
     empty = spark.createDataFrame([], "item_id bigint, rank int, doc_id bigint, score bigint")
-    index, big_n, _ = impact_index(documents, doc_key)
+    qterms = query_terms(items, item_key)
+    index, big_n, _ = impact_index(documents, doc_key, wanted=qterms.select("term").distinct())
     if big_n == 0:
         return empty
-    queries = stage(query_vectors(items, index, big_n, item_key), "lemp-queries")
+    queries = stage(query_vectors(qterms, index, big_n), "lemp-queries")
     parts = max(1, spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # Range blocks by norm, falling; a tie-breaker splits equal norms over blocks.
+    # Range blocks by norm, falling; a tie-breaker splits equal norms over blocks. The sort reads the
+    # rows twice and a document without a listed term scores nothing.
+    scored = stage(index.where(F.size("terms") > 0), "lemp-index")
     buckets = stage(
-        index.repartitionByRange(parts, F.desc("norm"), F.xxhash64("doc_id", "terms")).sortWithinPartitions(F.desc("norm")),
+        scored.repartitionByRange(parts, F.desc("norm"), F.xxhash64("doc_id", "terms")).sortWithinPartitions(F.desc("norm")),
         "lemp-buckets",
     )
     out = []

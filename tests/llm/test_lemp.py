@@ -67,3 +67,23 @@ def test_ties_and_pruning(scratch):
     items = scratch.createDataFrame([(1, "alpha"), (2, "delta delta gamma"), (3, "omega")], "item_id bigint, text string")
     got = {tuple(r) for r in lemp.search(df, items, k=5).collect()}
     assert got == brute(docs, [(1, "alpha"), (2, "delta delta gamma"), (3, "omega")], k=5)
+
+
+def test_only_terms_of_queries_are_written(scratch, monkeypatch):
+    docs = [(i, " ".join([f"w{i}x{k}" for k in range(40)] + ["alpha"] * (i % 4) + ["beta"])) for i in range(60)]
+    df = scratch.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    rows = [(1, "alpha w3x5"), (2, "Beta beta")]
+    items = scratch.createDataFrame(rows, "item_id bigint, text string")
+    written, stage = [], lemp.stage
+
+    def watched(table, label):
+        written.append(stage(table, label))
+        return written[-1]
+
+    monkeypatch.setattr(lemp, "stage", watched)
+    assert {tuple(r) for r in lemp.search(df, items, k=5).collect()} == brute(docs, rows, k=5)
+    # Whole vectors of 41 terms, written three times, filled the disk.
+    assert max(len(r["terms"]) for t in written if "doc_id" in t.columns for r in t.collect()) <= 3
+    # Too many terms for a broadcast: every term is kept, with the same result.
+    monkeypatch.setattr(lemp, "WANTED", 1)
+    assert {tuple(r) for r in lemp.search(df, items, k=5).collect()} == brute(docs, rows, k=5)
