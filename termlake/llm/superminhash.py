@@ -2,7 +2,8 @@
 
 A document's set is its distinct 5-word shingles (words are runs without
 white space, A-Z lower-cased), each hashed to 64 bits in the row. Rows with the
-same set are one node. For every distinct set a SuperMinHash signature of
+same set are one node. Only digests of a set are written (its name and its band
+keys); the sets of nodes that share a bucket are made again from their texts. For every set a SuperMinHash signature of
 ``M`` values is made: each element walks a random permutation of the slots,
 drawn one swap at a time from a stream seeded by the element, and offers slot
 ``p[j]`` the value ``j + r``; a slot keeps its least offer. Levels go in order
@@ -28,16 +29,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small, stage
+from .batches import bound_batches
 from .components import components
 
 # Fixed values of the contract.
 SHINGLE = 5
 NUM, DEN = 85, 100
 SPACE = "[\\x20\\x09-\\x0D]+"
+# Lower-casing is ``pc.ascii_lower``; the tables name what it does.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 M = 128
@@ -58,28 +62,6 @@ _M2 = np.uint64(0x94D049BB133111EB)
 _LOW = np.uint64(0xFFFFFFFF)
 
 
-def _words(text: Column) -> Column:
-    """Words of the text, A-Z lower-cased; null and white space give none."""
-    low = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    return F.filter(F.split(low, SPACE), lambda w: w != "")
-
-
-def _hashed_grams(words: Column) -> Column:
-    """Sorted distinct 64-bit hashes of the 5-word shingles of a words column.
-
-    Fewer than five words give the whole word sequence as one shingle; no words
-    give the empty set.
-    ``words`` should be a column of its own: a lambda that named the split
-    expression would split the whole text again for every shingle.
-    """
-    n = F.size(words)
-    grams = F.when(
-        n >= SHINGLE,
-        F.transform(F.sequence(F.lit(0), n - SHINGLE), lambda i: F.concat_ws(" ", *[words[i + k] for k in range(SHINGLE)])),
-    ).when(n > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
-    return F.sort_array(F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g))))
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     """SplitMix64 finaliser on unsigned 64-bit integers."""
     with np.errstate(over="ignore"):
@@ -127,18 +109,96 @@ def signatures(sets: list[np.ndarray], m: int = M) -> np.ndarray:
     return h
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_POSITION = [_mix(np.array([1000 + k], np.uint64))[0] for k in range(SHINGLE)]
+_NAME = [_mix(np.array([2000 + k], np.uint64))[0] for k in range(2)]
+
+
+def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``(hashes, offsets)``: for each text the sorted distinct 64-bit hashes of its shingles, as unsigned integers.
+
+    Fewer than five words give the whole word sequence as one shingle; no words,
+    or a null, give the empty set. A distinct word is hashed once, stirred by its
+    place in the shingle; a shingle's hash stirs the sum of its words.
+    """
+    low = pc.ascii_lower(pc.fill_null(texts, ""))
+    pieces = pc.split_pattern_regex(low, pattern=SPACE)
+    flat, owner = pc.list_flatten(pieces), pc.list_parent_indices(pieces)
+    keep = pc.greater(pc.binary_length(flat), 0)
+    owner = owner.filter(keep).to_numpy().astype(np.int64)
+    coded = pc.dictionary_encode(flat.filter(keep))
+    code = coded.indices.to_numpy()
+    names = np.array(coded.dictionary.cast(pa.binary()).to_pylist(), dtype=object)
+    word = pd.util.hash_array(names, categorize=False) if len(names) else np.zeros(0, np.uint64)
+    placed = [_mix(word ^ p) for p in _POSITION]
+    counts = np.bincount(owner, minlength=len(texts))
+    first = np.cumsum(counts) - counts
+    with np.errstate(over="ignore"):
+        n = max(0, len(code) - SHINGLE + 1)
+        inside = owner[:n] == owner[len(owner) - n :]
+        grams = sum((placed[k][code[k : k + n]][inside] for k in range(1, SHINGLE)), placed[0][code[:n]][inside])
+        rows = [owner[:n][inside]]
+        found = [_mix(grams)]
+        for size in range(1, SHINGLE):
+            short = np.flatnonzero(counts == size)
+            at = first[short]
+            found.append(_mix(sum((placed[k][code[at + k]] for k in range(size)), np.uint64(size))))
+            rows.append(short)
+    row, value = np.concatenate(rows), np.concatenate(found)
+    order = np.argsort(row, kind="stable")
+    row, value = row[order], value[order]
+    ends = np.searchsorted(row, np.arange(len(texts) + 1)).tolist()
+    for a, b in zip(ends[:-1], ends[1:]):
+        value[a:b].sort()
+    new = np.ones(len(value), bool)
+    new[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
+    row, value = row[new], value[new]
+    return value, np.searchsorted(row, np.arange(len(texts) + 1))
+
+
+def set_names(values: np.ndarray, offsets: np.ndarray) -> list[bytes | None]:
+    """128-bit name of each set, from two sums of its stirred hashes and its size; None for the empty set."""
+    sizes = np.diff(offsets)
+    with np.errstate(over="ignore"):
+        sums = [np.r_[np.uint64(0), np.cumsum(_mix(values ^ k), dtype=np.uint64)] for k in _NAME]
+        both = np.stack([_mix(t[offsets[1:]] - t[offsets[:-1]] + sizes.astype(np.uint64)) for t in sums], axis=1)
+    return [pair.tobytes() if n else None for pair, n in zip(both, sizes.tolist())]
+
+
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """``(sets, BANDS)``: a 64-bit hash of each band, its number mixed in."""
+    parts = sig.reshape(len(sig), BANDS, ROWS).view(np.uint64)
+    keys = np.broadcast_to(_mix(np.arange(1, BANDS + 1, dtype=np.uint64)), (len(sig), BANDS))
+    for k in range(ROWS):
+        keys = _mix(keys ^ parts[:, :, k])
+    return keys.view(np.int64)
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(doc_id, th, n_shingles, node, keys)`` of texts ``(doc_id, th, t)``; without words no node and no keys."""
     for batch in batches:
         for start in range(0, batch.num_rows, SIG_SETS):
             part = batch.slice(start, SIG_SETS)
-            sets = [np.asarray(s, dtype=np.int64) for s in part.column("s").to_pylist()]
-            sig = signatures(sets)
+            values, offsets = shingle_sets(part.column("t"))
+            sizes = np.diff(offsets)
+            full = np.flatnonzero(sizes)
+            sig = signatures([values[offsets[i] : offsets[i + 1]].view(np.int64) for i in full])
+            ends = np.r_[0, np.cumsum(np.where(sizes > 0, BANDS, 0))].astype(np.int32)
+            keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(band_keys(sig).reshape(-1)))
             yield pa.RecordBatch.from_arrays(
-                [part.column("nid"), part.column("node"), part.column("n"), pa.ListArray.from_arrays(pa.array(np.arange(0, sig.size + 1, M, dtype=np.int32)), pa.array(sig.reshape(-1)))],
-                names=["nid", "node", "n", "sig"],
+                [part.column("doc_id"), part.column("th"), pa.array(sizes.astype(np.int64)), pa.array(set_names(values, offsets), pa.binary()), keys],
+                names=["doc_id", "th", "n_shingles", "node", "keys"],
             )
 
 
+def _named_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(node, s)`` of texts ``(t)``."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SIG_SETS):
+            values, offsets = shingle_sets(batch.column("t").slice(start, SIG_SETS))
+            sets = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(set_names(values, offsets), pa.binary()), sets], names=["node", "s"])
+
+
 def _links_in_block(rows: pd.DataFrame) -> pd.DataFrame:
     """Verified links of one block pair of one bucket, as a forest.
 
@@ -150,7 +210,7 @@ def _links_in_block(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("nid").reset_index(drop=True)
     nodes = rows["nid"].to_numpy(dtype=np.int64).tolist()
     sizes = rows["n"].to_numpy(dtype=np.int64)
-    sig = np.stack([np.asarray(s, dtype=np.int64) for s in rows["sig"]]) if len(rows) else np.zeros((0, M), np.int64)
+    keys = np.stack([np.asarray(s, dtype=np.int64) for s in rows["keys"]])
     sets = [np.asarray(s, dtype=np.int64) for s in rows["s"]]
     blocks = rows["block"].to_numpy()
     parent = list(range(len(rows)))
@@ -175,14 +235,8 @@ def _links_in_block(rows: pd.DataFrame) -> pd.DataFrame:
         # Sizes must allow 100 |I| >= 85 |U|.
         small, big = np.minimum(sizes[earlier], sizes[i]), np.maximum(sizes[earlier], sizes[i])
         earlier = earlier[DEN * small >= NUM * big]
-        if earlier.size == 0 or band == 0:
-            pass
-        else:
-            same = (sig[earlier, : band * ROWS] == sig[i, : band * ROWS]).reshape(len(earlier), band, ROWS).all(axis=2).any(axis=1)
-            earlier = earlier[~same]
         if earlier.size:
-            # The bucket key is a hash: keep those whose band is really equal.
-            earlier = earlier[(sig[earlier, band * ROWS : (band + 1) * ROWS] == sig[i, band * ROWS : (band + 1) * ROWS]).all(axis=1)]
+            earlier = earlier[~(keys[earlier, :band] == keys[i, :band]).any(axis=1)]
         for j in earlier.tolist():
             a, b = find(i), find(j)
             if a == b:
@@ -195,50 +249,52 @@ def _links_in_block(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": np.array(out_a, dtype=np.int64), "b": np.array(out_b, dtype=np.int64)})
 
 
-def _node_id(text_set: Column) -> Column:
-    """Name of a set: two 64-bit hashes of its sorted hashes under different seeds; equal sets share it."""
-    return F.concat_ws(":", F.hex(F.xxhash64(text_set)), F.hex(F.xxhash64(F.lit(1), text_set)))
-
-
 def _release(df: DataFrame) -> None:
     """Let the driver collect plans that are written out, so the cleaner deletes their shuffle files."""
     df.sparkSession.sparkContext._jvm.System.gc()
 
 
-def _wave_links(sigs: DataFrame, sets: DataFrame, lo: int, hi: int, joined: DataFrame | None) -> DataFrame:
+def _sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(nid, s)`` for ``wanted(nid, th, node)``: sets made again from the texts with a wanted hash."""
+    hashes = broadcast_if_small(wanted.select("th").distinct())
+    again = texts.join(hashes, "th", "left_semi").select("t").mapInArrow(_named_sets, "node binary, s array<bigint>")
+    # Copies of a text give its set again; one is enough.
+    return again.join(broadcast_if_small(wanted.select("nid", "node")), "node").groupBy("nid").agg(F.any_value("s").alias("s"))
+
+
+def _wave_links(nodes: DataFrame, texts: DataFrame, lo: int, hi: int, joined: DataFrame | None) -> DataFrame:
     """Verified links (a forest per task) of bands ``lo`` to ``hi - 1``, written.
 
-    ``sets`` holds ``nid, s``: the full set of each node, read only for nodes
-    in a bucket. With ``joined`` (``id, comp`` of the components of earlier waves), a bucket
+    ``nodes`` holds ``nid, n, th, node, keys``. With ``joined`` (``id, comp`` of the components of earlier waves), a bucket
     whose members all lie in one component is skipped, and members of one
     component are not compared again.
     """
-    bands = sigs.select(
-        "nid",
-        "n",
-        F.posexplode(F.transform(F.sequence(F.lit(lo), F.lit(hi - 1)), lambda b: F.xxhash64(F.slice("sig", b * ROWS + 1, ROWS)))).alias("band", "key"),
-    ).withColumn("band", F.col("band") + lo)
+    narrow = nodes.select("nid", "n", F.slice("keys", lo + 1, hi - lo).alias("keys"))
     if joined is None:
-        bands = bands.withColumn("comp", F.col("nid"))
+        narrow = narrow.withColumn("comp", F.col("nid"))
     else:
         comp = broadcast_if_small(joined.select(F.col("id").alias("nid"), "comp"))
-        bands = bands.join(comp, "nid", "left").withColumn("comp", F.coalesce("comp", "nid"))
-    buckets = bands.groupBy("band", "key").agg(
+        narrow = narrow.join(comp, "nid", "left").withColumn("comp", F.coalesce("comp", "nid"))
+    # A key has its band's number mixed in, so it names the bucket alone.
+    bands = narrow.select("nid", "n", "comp", F.posexplode("keys").alias("band", "key")).withColumn("band", F.col("band") + lo)
+    buckets = bands.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"), F.sum("n").alias("mass"), F.min("comp").alias("c0"), F.max("comp").alias("c1")
     )
-    buckets = buckets.where((F.col("size") > 1) & (F.col("c0") < F.col("c1"))).drop("c0", "c1")
+    buckets = buckets.where((F.col("size") > 1) & (F.col("c0") < F.col("c1")))
     blocks = F.greatest(F.ceil(F.col("size") / BLOCK_SETS), F.ceil(F.col("mass") / BLOCK_SHINGLES)).cast("int")
-    busy = bands.join(buckets.withColumn("blocks", blocks), ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int"))
+    # Few buckets are left as a rule: the rows of all bands then stay where they are read.
+    buckets = broadcast_if_small(stage(buckets.select("key", blocks.alias("blocks")), f"smh-buckets{lo}"))
+    busy = bands.join(buckets, "key").withColumn("block", F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int"))
     # Every pair of blocks of a bucket meets in one group: a member of block a joins (a, c) and (c, a).
     partners = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda c: F.struct(F.least(F.col("block"), c).alias("bi"), F.greatest(F.col("block"), c).alias("bj")))
     busy = stage(busy.select("band", "key", "nid", "comp", "block", F.inline(partners)), f"smh-busy{lo}")
     _release(busy)
-    # Each member carries only the signature values up to its band.
-    wanted = broadcast_if_small(busy.select("nid").distinct())
-    full = busy.join(sigs.join(wanted, "nid", "left_semi").select("nid", "n", "sig"), "nid")
-    full = full.join(sets.join(wanted, "nid", "left_semi"), "nid")
-    full = full.withColumn("sig", F.slice("sig", 1, (F.col("band") + 1) * ROWS))
-    links = stage(full.groupBy("band", "key", "bi", "bj").applyInPandas(_links_in_block, "a bigint, b bigint"), f"smh-links{lo}")
+    wanted = nodes.join(broadcast_if_small(busy.select("nid").distinct()), "nid", "left_semi")
+    wanted = stage(wanted, f"smh-wanted{lo}")
+    # Each member carries only the keys of the bands before its own.
+    full = busy.join(_sets_of(texts, wanted), "nid").join(broadcast_if_small(wanted.select("nid", "n", "keys")), "nid")
+    full = full.withColumn("keys", F.slice("keys", F.lit(1), F.col("band")))
+    links = stage(full.groupBy("key", "bi", "bj").applyInPandas(_links_in_block, "a bigint, b bigint"), f"smh-links{lo}")
     _release(links)
     return links
 
@@ -261,24 +317,21 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
       (1 - 0.85^4)^32 < 1e-10; every candidate pair is verified exactly.
     * Empty tables give no rows; extra columns are ignored.
     """
-    rows = documents.select(F.col(key).alias("doc_id"), _words(F.col(text)).alias("w"))
-    rows = rows.select("doc_id", _hashed_grams(F.col("w")).alias("s"))
-    rows = rows.select("doc_id", F.size("s").cast("bigint").alias("n_shingles"), F.when(F.size("s") > 0, _node_id(F.col("s"))).alias("node"), "s")
+    text_ = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    texts = bound_batches(documents).select(F.col(key).alias("doc_id"), F.xxhash64(text_).alias("th"), text_.alias("t"))
+    kind = documents.schema[key].dataType.simpleString()
+    rows = texts.mapInArrow(_digests, f"doc_id {kind}, th bigint, n_shingles bigint, node binary, keys array<bigint>")
     rows = stage(rows.withColumn("rid", F.monotonically_increasing_id()), "smh-rows")
-    # A node is named by its first row: only keys are shuffled, the sets stay in the row table.
+    # A node is named by its first row: only names are shuffled.
     reps = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("rid").alias("nid"))
     reps = stage(reps, "smh-reps")
-    sets = rows.select(F.col("rid").alias("nid"), "s")
-    firsts = rows.join(broadcast_if_small(reps.select(F.col("nid").alias("rid"))), "rid", "left_semi")
-    signed = firsts.select(F.col("rid").alias("nid"), "node", F.col("n_shingles").alias("n"), "s").mapInArrow(
-        _sign, "nid bigint, node string, n bigint, sig array<bigint>"
-    )
-    sigs = stage(signed, "smh-sigs")
-    del firsts, signed
-    _release(sigs)
-    first = _wave_links(sigs, sets, 0, WAVE_BANDS, None)
+    nodes = rows.join(broadcast_if_small(reps.select(F.col("nid").alias("rid"))), "rid", "left_semi")
+    nodes = stage(nodes.select(F.col("rid").alias("nid"), F.col("n_shingles").alias("n"), "th", "node", "keys"), "smh-nodes")
+    _release(nodes)
+    texts = texts.select("th", "t")
+    first = _wave_links(nodes, texts, 0, WAVE_BANDS, None)
     joined = stage(components(first), "smh-comp1")
-    second = _wave_links(sigs, sets, WAVE_BANDS, BANDS, joined)
+    second = _wave_links(nodes, texts, WAVE_BANDS, BANDS, joined)
     links = first.unionByName(second)
     comps = components(links)
     ids = rows.select("doc_id", "node").where(F.col("node").isNotNull()).join(reps, "node")

@@ -85,3 +85,20 @@ def test_near_copies_link(scratch):
     df = scratch.createDataFrame(rows, "doc_id bigint, text string")
     got = {(r["doc_id"], r["component_id"], r["kept"]) for r in smh.near_duplicates(df).collect()}
     assert got == {(5, 3, False), (3, 3, True), (9, 9, True), (4, 3, False), (None, 3, False)}
+
+
+def test_no_sets_are_written(scratch, monkeypatch):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(300))) for i in range(40)] + [(100, " ".join(f"w3x{k}" for k in range(299)))]
+    written, stage = [], smh.stage
+
+    def watched(table, label):
+        written.append(stage(table, label))
+        return written[-1]
+
+    monkeypatch.setattr(smh, "stage", watched)
+    df = scratch.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((tuple(r) for r in smh.near_duplicates(df).collect()), key=repr)
+    assert got == brute(rows)
+    # A set is as large as its text: written sets and whole signatures filled the disk.
+    lists = [(t, f.name) for t in written for f in t.schema if f.dataType.simpleString() == "array<bigint>"]
+    assert lists and max(len(r[c]) for t, c in lists for r in t.collect()) <= smh.BANDS
