@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from termlake.llm import bpe, components, mixing, ngram_join, quality_net, quality_rules, repeats, spotsigs, toxicity, warc
@@ -185,6 +186,43 @@ def test_repeats_by_brute_force(scratch, group):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_spans_of_a_long_copy_are_one(scratch):
+    copy = prose(40, 3000)
+    docs = scratch.createDataFrame([(copy,), (copy,), (prose(41, 300),), (copy + " end",)], "text string")
+    got = [[tuple(s) for s in r["spans"]] for r in repeats.covered(docs).collect()]
+    assert sorted(got) == [[(0, len(copy))]] * 2
+
+
+def test_a_text_of_many_runs(scratch):
+    docs = scratch.createDataFrame([(0, "z" * 12000 + prose(42, 30)), (1, prose(43, 200))], "doc_id bigint, text string")
+    sizes = [r["n"] for r in repeats.occurrences(docs).select(F.size("runs").alias("n")).collect()]
+    assert max(sizes) == repeats.RUNS and sum(sizes) > 11600
+    got = {r["doc_id"]: [tuple(s) for s in r["removed"]] for r in repeats.remove_repeats(docs).collect()}
+    assert got == {0: [(0, 12000)], 1: []}
+
+
+def test_only_runs_of_shared_anchors_move(scratch):
+    texts = [prose(1000 + i, 200) for i in range(40)]
+    shared = repeats.shared_occurrences(scratch.createDataFrame([(t,) for t in [*texts, texts[0], texts[0]]], "text string"))
+    # The texts but the first are alone, so of them at most an anchor met by chance is kept.
+    rows = shared.groupBy("tid").agg(F.sum("n").alias("n"), F.count("n").alias("runs")).collect()
+    runs = repeats.anchor_runs(np.frombuffer(texts[0].encode(), np.uint8))
+    assert (3 * len(runs), len(runs)) in [(r["n"], r["runs"]) for r in rows] and len(rows) < 10
+
+
+@pytest.mark.parametrize("most", [1 << 29, 1 << 15])
+def test_bitmap_keeps_all_named_texts(scratch, most):
+    rows = scratch.range(40000).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("tid"), "id")
+    kept, repeats.MOST_BITS = repeats.MOST_BITS, most
+    try:
+        found = repeats.may_be_in(rows, rows.where("id % 8 = 0")).groupBy(F.col("id") % 8 == 0, "_maybe").count().collect()
+    finally:
+        repeats.MOST_BITS = kept
+    counts = {(named, maybe): n for named, maybe, n in found}
+    assert counts[True, True] == 5000 and (True, False) not in counts
+    assert counts[False, True] < 35000 * (0.08 if most > 1 << 15 else 0.2)
+
+
 def test_similar_spotsigs(scratch):
     texts = [prose(1, 200), prose(1, 200) + " extra word", prose(2, 200), prose(1, 200)]
     members, pairs = spotsigs.similar_pairs(scratch.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
