@@ -13,6 +13,7 @@ import hashlib
 import heapq
 import json
 import re
+from copy import copy
 from functools import lru_cache
 from itertools import chain
 
@@ -96,6 +97,12 @@ class Bpe:
         self.cache: dict[str, tuple[int, ...]] = {}
         self.checked = self.failed = 0
 
+    def fresh(self) -> Bpe:
+        """The same tables with an empty cache, which goes with its task."""
+        own = copy(self)
+        own.cache = {}
+        return own
+
     def grow_trie(self, tokens: dict[bytes, int]) -> None:
         """Transitions sorted by (node, byte), for lookups of many at once."""
         nodes: dict[bytes, int] = {b"": 0}
@@ -311,7 +318,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """
 
     def make():
-        bpe = load(path)
+        bpe = load(path).fresh()
         return lambda batch: zip(batch.column(0).to_pylist(), (i.tolist() for i in bpe.encode(texts_of(batch.column(1)))))
 
     return map_rows(docs.select("doc_id", "text"), "doc_id bigint, ids array<int>", make)
@@ -336,7 +343,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """Per row ``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: encoded, then decoded again."""
 
     def make():
-        bpe = load(path)
+        bpe = load(path).fresh()
 
         def run(batch):
             for doc, ids in zip(batch.column(0).to_pylist(), bpe.encode(texts_of(batch.column(1)))):

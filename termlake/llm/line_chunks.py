@@ -18,6 +18,7 @@ REACH = 2
 MEAN_LINES = 3
 LEAST_LINES = 2
 LEAST_BYTES = 40  # shorter chunks are too common to mean a copy
+GROUP_BYTES = 4 << 20  # most bytes of repeated chunks that are broadcast
 
 # Line hashes are below 2**28 and the factor is small, so no product overflows.
 FACTOR = 31
@@ -94,7 +95,8 @@ def repeated(docs: DataFrame) -> DataFrame:
     # Measured small, the repeated hashes go to the texts; else chunks are shuffled by hash.
     again = stage(found.join(broadcast_if_small(keys), "key", "left_semi"), "line-chunks")
     groups = again.groupBy("key", "body").agg(*ends).where("first != last").select("key", "body", "first")
-    groups = broadcast_if_small(stage(groups, "line-groups"))
+    # Bodies are long: every executor and the driver would hold each, so only few are broadcast.
+    groups = broadcast_if_small(stage(groups, "line-groups"), max_bytes=GROUP_BYTES)
     return again.join(groups, ["key", "body"]).where(_place() != F.col("first")).select("doc_id", "version", "pos").distinct()
 
 

@@ -53,16 +53,13 @@ class _Words(dict):
         return h
 
 
-_WORDS = _Words()
-
-
 def _stir(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(29))
 
 
-def shingles(text: str) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the five-word shingles of a text.
+def shingles(text: str, cache: _Words | None = None) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the five-word shingles of a text; ``cache`` keeps words for the next one.
 
     Words are runs of letters, digits and underscores in lower case. A text of
     fewer words is one shingle, one without words has none.
@@ -70,7 +67,8 @@ def shingles(text: str) -> np.ndarray:
     words = WORD.findall(text.lower())
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    hashed = _Words() if cache is None else cache
+    h = np.fromiter(map(hashed.__getitem__, words), np.uint64, len(words))
     n = max(1, len(h) - WORDS + 1)
     parts = [h[k : k + n] * _MIX[k] for k in range(min(WORDS, len(h)))]
     return np.unique(_stir(sum(parts[1:], parts[0])))
@@ -160,9 +158,11 @@ def prepared(docs: DataFrame) -> DataFrame:
     """
 
     def make():
+        words = _Words()
+
         def run(batch: pa.RecordBatch):
             for doc, version, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2))):
-                s = shingles(text)
+                s = shingles(text, words)
                 yield doc, version, set_key(s, text), len(s), bands(min_hashes(s)).tolist() if len(s) else []
 
         return run
@@ -236,9 +236,11 @@ def linked(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOL
     chosen = stage(chosen.join(blocks, "comp").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "ngram-chosen")
 
     def make():
+        words = _Words()
+
         def run(batch: pa.RecordBatch):
             for text in texts_of(batch.column(0)):
-                s = shingles(text)
+                s = shingles(text, words)
                 yield set_key(s, text), s.tobytes()
 
         return run
