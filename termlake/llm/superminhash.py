@@ -52,6 +52,8 @@ WAVE_BANDS = 2
 # Sets of one batch whose signatures are made together, and elements handled at once.
 SIG_SETS = 256
 SIG_ELEMENTS = 1 << 16
+# Two blocks of a bucket.
+GROUP = ("key", "bi", "bj")
 # A block of a bucket holds at most about this many sets and shingles.
 BLOCK_SETS = 2048
 BLOCK_SHINGLES = 4_000_000
@@ -199,23 +201,74 @@ def _named_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(set_names(values, offsets), pa.binary()), sets], names=["node", "s"])
 
 
-def _links_in_block(rows: pd.DataFrame) -> pd.DataFrame:
-    """Verified links of one block pair of one bucket, as a forest.
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by ``GROUP``, cut so that no group lies in two tables; at most one group waits for its end."""
+    held: list[pa.RecordBatch] = []
 
-    Rows of one component of an earlier wave (column ``comp``) start joined in
-    the union-find: they are connected already, so no pair of them is checked.
+    def group(batch: pa.RecordBatch, i: int) -> tuple:
+        return tuple(batch.column(c)[i].as_py() for c in GROUP)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = group(batch, batch.num_rows - 1)
+        if held and group(held[-1], 0) == last:
+            held.append(batch)
+            continue
+        other = np.zeros(batch.num_rows, bool)
+        for c, own in zip(GROUP, last):
+            other |= batch.column(c).to_numpy() != own
+        cut = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+        done = [*held, batch.slice(0, cut)]
+        held = [batch.slice(cut)]
+        if sum(x.num_rows for x in done):
+            yield pa.Table.from_batches(done)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _lists(table: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """Values and offsets of a list column."""
+    lists = table.column(column).combine_chunks()
+    sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    return pc.list_flatten(lists).to_numpy(), np.r_[0, np.cumsum(sizes)]
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Verified links ``(a, b)`` of block pairs of buckets, as forests; rows are sorted by ``GROUP`` and ``nid``."""
+    for table in _whole_groups(batches):
+        key, lo, hi, band, nodes, comps, sizes, blocks = (
+            table.column(c).to_numpy() for c in (*GROUP, "band", "nid", "comp", "n", "block")
+        )
+        keys, key_ends = _lists(table, "keys")
+        values, ends = _lists(table, "s")
+        new = np.r_[True, (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]), True]
+        cuts, ends = np.flatnonzero(new).tolist(), ends.tolist()
+        out_a: list[int] = []
+        out_b: list[int] = []
+        for x, y in zip(cuts, cuts[1:]):
+            # Each member carries the keys of the bands before the bucket's.
+            earlier = keys[key_ends[x] : key_ends[y]].reshape(y - x, int(band[x]))
+            sets = [values[ends[i] : ends[i + 1]] for i in range(x, y)]
+            across = blocks[x:y] if lo[x] != hi[x] else None
+            for i, j in _links_in_block(comps[x:y].tolist(), sizes[x:y], earlier, sets, across):
+                out_a.append(int(nodes[x + i]))
+                out_b.append(int(nodes[x + j]))
+        yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+
+
+def _links_in_block(
+    comps: list[int], sizes: np.ndarray, keys: np.ndarray, sets: list[np.ndarray], blocks: np.ndarray | None
+) -> Iterator[tuple[int, int]]:
+    """Verified links of one block pair of one bucket, as a forest; members are in the order of their ids.
+
+    Members of one component of an earlier wave start joined in the union-find:
+    they are connected already, so no pair of them is checked. With ``blocks``
+    only pairs across blocks are.
     """
-    band = int(rows["band"].iloc[0])
-    lo, hi = int(rows["bi"].iloc[0]), int(rows["bj"].iloc[0])
-    rows = rows.sort_values("nid").reset_index(drop=True)
-    nodes = rows["nid"].to_numpy(dtype=np.int64).tolist()
-    sizes = rows["n"].to_numpy(dtype=np.int64)
-    keys = np.stack([np.asarray(s, dtype=np.int64) for s in rows["keys"]])
-    sets = [np.asarray(s, dtype=np.int64) for s in rows["s"]]
-    blocks = rows["block"].to_numpy()
-    parent = list(range(len(rows)))
+    parent = list(range(len(comps)))
     first: dict[int, int] = {}
-    for i, c in enumerate(rows["comp"].to_numpy(dtype=np.int64).tolist()):
+    for i, c in enumerate(comps):
         parent[i] = first.setdefault(c, i)
 
     def find(i: int) -> int:
@@ -224,29 +277,25 @@ def _links_in_block(rows: pd.DataFrame) -> pd.DataFrame:
             i = parent[i]
         return i
 
-    out_a, out_b = [], []
-    for i in range(1, len(rows)):
-        earlier = np.arange(i)
-        if lo != hi:
-            # Across blocks, only pairs with one set in each.
-            earlier = earlier[blocks[:i] != blocks[i]]
-        if earlier.size == 0:
-            continue
-        # Sizes must allow 100 |I| >= 85 |U|.
-        small, big = np.minimum(sizes[earlier], sizes[i]), np.maximum(sizes[earlier], sizes[i])
-        earlier = earlier[DEN * small >= NUM * big]
-        if earlier.size:
-            earlier = earlier[~(keys[earlier, :band] == keys[i, :band]).any(axis=1)]
-        for j in earlier.tolist():
+    for i in range(1, len(comps)):
+        # Sizes must allow 100 |I| >= 85 |U|, and the pair must not share an earlier band.
+        small, big = np.minimum(sizes[:i], sizes[i]), np.maximum(sizes[:i], sizes[i])
+        fits = DEN * small >= NUM * big
+        if blocks is not None:
+            fits &= blocks[:i] != blocks[i]
+        near = np.flatnonzero(fits)
+        if near.size:
+            near = near[~(keys[near] == keys[i]).any(axis=1)]
+        for j in near.tolist():
             a, b = find(i), find(j)
             if a == b:
                 continue
-            inter = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            union = len(sets[i]) + len(sets[j]) - inter
-            if DEN * inter >= NUM * union:
+            both = np.concatenate([sets[i], sets[j]])
+            both.sort()
+            inter = int(np.count_nonzero(both[1:] == both[:-1]))
+            if DEN * inter >= NUM * (len(both) - inter):
                 parent[max(a, b)] = min(a, b)
-                out_a.append(nodes[i]), out_b.append(nodes[j])
-    return pd.DataFrame({"a": np.array(out_a, dtype=np.int64), "b": np.array(out_b, dtype=np.int64)})
+                yield i, j
 
 
 def _release(df: DataFrame) -> None:
@@ -294,7 +343,9 @@ def _wave_links(nodes: DataFrame, texts: DataFrame, lo: int, hi: int, joined: Da
     # Each member carries only the keys of the bands before its own.
     full = busy.join(_sets_of(texts, wanted), "nid").join(broadcast_if_small(wanted.select("nid", "n", "keys")), "nid")
     full = full.withColumn("keys", F.slice("keys", F.lit(1), F.col("band")))
-    links = stage(full.groupBy("key", "bi", "bj").applyInPandas(_links_in_block, "a bigint, b bigint"), f"smh-links{lo}")
+    # Most buckets hold two or three sets: groups are walked in sorted rows, as a call for each would cost more than its work.
+    dealt = full.repartition(*GROUP).sortWithinPartitions(*GROUP, "nid")
+    links = stage(dealt.mapInArrow(_links, "a bigint, b bigint"), f"smh-links{lo}")
     _release(links)
     return links
 

@@ -1,6 +1,7 @@
 """SuperMinHash near duplicates against all pairs of full sets, and on odd rows."""
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 
 from termlake.llm import superminhash as smh
@@ -102,3 +103,35 @@ def test_no_sets_are_written(scratch, monkeypatch):
     # A set is as large as its text: written sets and whole signatures filled the disk.
     lists = [(t, f.name) for t in written for f in t.schema if f.dataType.simpleString() == "array<bigint>"]
     assert lists and max(len(r[c]) for t, c in lists for r in t.collect()) <= smh.BANDS
+
+
+def test_links_of_groups_cut_by_batches():
+    rng, rows = np.random.default_rng(3), []
+    for key in range(40):
+        base = rng.integers(-(2**62), 2**62, 60)
+        for nid in range(int(rng.integers(2, 7))):
+            own = np.unique(np.r_[base[: 60 - nid], rng.integers(-(2**62), 2**62, nid + 1)])
+            rows.append((key, 0, key % 2, 1, 10 * key + nid, 10 * key + nid, nid % 2 * (key % 2), len(own), [key * 100 + nid], own.tolist()))
+    schema = pa.schema([(c, pa.int64()) for c in (*smh.GROUP, "band", "nid", "comp", "block", "n")] + [(c, pa.list_(pa.int64())) for c in ("keys", "s")])
+    whole = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    def links(size):
+        found = smh._links(whole.slice(i, size) for i in range(0, len(rows), size))
+        return [(a, b) for x in found for a, b in zip(x.column(0).to_pylist(), x.column(1).to_pylist())]
+
+    parent = {r[4]: r[4] for r in rows}
+
+    def find(i):
+        return i if parent[i] == i else find(parent[i])
+
+    want = []
+    for i, x in enumerate(rows):
+        for y in rows[:i]:
+            a, b = set(x[-1]), set(y[-1])
+            if x[0] == y[0] and (x[6] != y[6] or x[1] == x[2]) and 100 * len(a & b) >= 85 * len(a | b) and find(x[4]) != find(y[4]):
+                parent[max(find(x[4]), find(y[4]))] = min(find(x[4]), find(y[4]))
+                want.append((x[4], y[4]))
+    assert len(want) > 40
+    # Whether a group's rows come in one batch or in several, and without batches.
+    assert all(links(size) == want for size in (len(rows), 50, 7, 2, 1))
+    assert links(1000) == want and list(smh._links(iter([]))) == []
